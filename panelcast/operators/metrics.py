@@ -209,3 +209,8 @@ def latest_window(df: DataFrame, time: str = "Date", y: str = "Sales", yhat: str
     e = error(y, yhat)
     return sel.groupBy(*group_by).agg(F.date_sub(F.max("_d"), days).alias("window_start"),
                                    F.max("_d").alias("window_end"), *_metric_exprs(e))
+
+
+def filter_open(df: DataFrame, open_col: str = "Open", y: str = "Sales", yhat: str = "prediction") -> DataFrame:
+    """PRJ-14: open stores with a non-null actual and prediction."""
+    return df.filter((F.col(open_col) == 1) & F.col(y).isNotNull() & F.col(yhat).isNotNull())

@@ -98,3 +98,26 @@ def drift_samples(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     ts = F.col("ts").cast("timestamp")
     cut = F.lit(DRIFT_SPLIT_TS).cast("timestamp")
     return events.filter(ts < cut), events.filter(ts >= cut)
+
+
+def raw_sales_rows(lineitem: DataFrame) -> DataFrame:
+    """Raw batch rows in the training-row schema, one per lineitem.
+
+    ``file`` = one batch per (store, day), ``line`` = source order. Promo is
+    coded 0 / 1 / 2 from the discount; 2 is outside the contract, so some
+    batches fail validation (quarantine input).
+    """
+    d = F.col("l_shipdate").cast("date")
+    store = (F.col("l_suppkey") + 1).cast("bigint")
+    return lineitem.select(
+        F.concat(F.lit("gt_"), store.cast("string"), F.lit("_"), F.date_format(d, "yyyyMMdd")).alias("file"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("line"),
+        store.alias("Store"), d.alias("Date"),
+        F.col("l_extendedprice").alias("Sales"),
+        F.col("l_quantity").cast("bigint").alias("Customers"),
+        F.when((F.col("l_linestatus") == "O") | (F.col("l_returnflag") != "R"), 1).otherwise(0).alias("Open"),
+        F.when(F.col("l_discount") >= 0.1, 2).when(F.col("l_discount") >= 0.06, 1).otherwise(0).alias("Promo"),
+        _state_holiday(d).alias("StateHoliday"),
+        F.when(F.month(d) == 7 + store % 2, 1).otherwise(0).alias("SchoolHoliday"),
+        (F.weekday(d) + 1).cast("int").alias("DayOfWeek"),
+    )
