@@ -73,3 +73,35 @@ def walk_forward(df: DataFrame, roles: Roles = Roles(), folds: int = 4, days: in
     d = F.col(roles.time).cast("date")
     tagged = df.join(F.broadcast(blocks), d <= F.col("block_end"))
     return tagged.withColumn("role", F.when(d < F.col("block_start"), "train").otherwise("validation"))
+
+
+# Recency tiers (age upper bounds in days) and the code
+# default weights; the configuration uses 5 / 3 / 1.5 / 1.
+RECENCY_TIER_DAYS = (30, 60, 120)
+CODE_DEFAULT_WEIGHTS = (10.0, 5.0, 2.0, 1.0)
+CONFIG_WEIGHTS = (5.0, 3.0, 1.5, 1.0)
+
+
+def recency_weights(df: DataFrame, roles: Roles = Roles(), weights=CODE_DEFAULT_WEIGHTS,
+                    tiers=RECENCY_TIER_DAYS, promo_only: bool = True, name: str = "weight") -> DataFrame:
+    """WIN-13: age = max(date) - date (scalar subquery); promo rows within
+    30 / 60 / 120 days get tier weights, everything else the default;
+    float32 like the reference."""
+    d = F.col(roles.time).cast("date")
+    last = df.agg(F.max(d)).scalar()
+    age = F.datediff(last, d)
+    promo = F.coalesce(F.col(roles.promo).cast("string").try_cast("double"), F.lit(0.0)) == 1
+    gate = promo if promo_only else F.lit(True)
+    w = (F.when(gate & (age <= tiers[0]), weights[0])
+         .when(gate & (age > tiers[0]) & (age <= tiers[1]), weights[1])
+         .when(gate & (age > tiers[1]) & (age <= tiers[2]), weights[2])
+         .otherwise(weights[3]))
+    return df.withColumn(name, w.cast("float"))
+
+
+def split_profile(df: DataFrame, roles: Roles = Roles(), split_col: str | None = None) -> DataFrame:
+    """AGG-20: distinct days, min / max date and rows (per split)."""
+    d = F.col(roles.time).cast("date")
+    keys = [split_col] if split_col else []
+    return df.groupBy(*keys).agg(F.count_distinct(d).alias("days"), F.min(d).alias("min_date"),
+                                 F.max(d).alias("max_date"), F.count(F.lit(1)).alias("rows"))
