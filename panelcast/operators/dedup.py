@@ -54,3 +54,13 @@ def union_keep_last(frames: Sequence[DataFrame], keys: Sequence[str],
     tagged = tagged.dropna(subset=list(keys))
     order = [source_order] + (["_line"] if "_line" in tagged.columns else [])
     return dedup_last(tagged, keys, order).drop(source_order)
+
+
+def value_set_difference(current: DataFrame, reference: DataFrame, col: str, out: str = "v") -> DataFrame:
+    """SET-05: distinct values of current not in reference (EXCEPT)."""
+    return current.select(F.col(col).alias(out)).subtract(reference.select(F.col(col).alias(out)))
+
+
+def value_set_intersection(current: DataFrame, reference: DataFrame, col: str, out: str = "v") -> DataFrame:
+    """SET-05: distinct values present on both sides (INTERSECT)."""
+    return current.select(F.col(col).alias(out)).intersect(reference.select(F.col(col).alias(out)))
