@@ -21,6 +21,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelcast.functions.stats import chi2_sf, ks_pvalue
 from panelcast.session import cut_lineage
@@ -88,7 +89,8 @@ def ks_statistic(long: DataFrame, keys: Sequence[str] = ("feature",), slices: in
                             F.coalesce(F.sum("t_ref").over(w), F.lit(0.0)).alias("o_ref"),
                             F.coalesce(F.sum("t_cur").over(w), F.lit(0.0)).alias("o_cur"))
     sizes = totals.groupBy(*keys).agg(F.sum("t_ref").alias("n_ref"), F.sum("t_cur").alias("n_cur"))
-    schema = ranged.schema.add("cum_ref", "double").add("cum_cur", "double")
+    schema = T.StructType([*ranged.schema.fields, T.StructField("cum_ref", T.DoubleType()),
+                           T.StructField("cum_cur", T.DoubleType())])
     local = ranged.sortWithinPartitions(*keys, "value").mapInPandas(_local_cumsum(keys), schema)
     # offsets / sizes: one row per (slice, key) / key -> bounded, broadcast.
     g = (local.join(F.broadcast(offsets), [*keys, "slice"]).join(F.broadcast(sizes), keys))

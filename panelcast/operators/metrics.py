@@ -214,3 +214,94 @@ def latest_window(df: DataFrame, time: str = "Date", y: str = "Sales", yhat: str
 def filter_open(df: DataFrame, open_col: str = "Open", y: str = "Sales", yhat: str = "prediction") -> DataFrame:
     """PRJ-14: open stores with a non-null actual and prediction."""
     return df.filter((F.col(open_col) == 1) & F.col(y).isNotNull() & F.col(yhat).isNotNull())
+
+
+def metrics_upsert(history: DataFrame, new_rows: DataFrame, key: str = "window_end") -> DataFrame:
+    """WIN-11: append, keep the last row per ``key`` (new rows win over old
+    ones; within a side the later ``_order`` wins when present)."""
+    from panelcast.operators.dedup import union_keep_last
+    return union_keep_last([history, new_rows], [key]).orderBy(key)
+
+
+def retrain_signal(history: DataFrame, run_col: str | None = None, day_col: str = "day",
+                   min_points: int = 14, min_samples_latest: int = 1500, consecutive_bad_points: int = 3,
+                   rmse_baseline: float = 1300.0, mae_baseline: float = 900.0, bias_limit: float = 900.0,
+                   rmse_rel_increase: float = 0.30, mae_rel_increase: float = 0.25,
+                   rmse_step_threshold: float = 250.0, bias_step_threshold: float = 200.0) -> DataFrame:
+    """WIN-12 (without cooldown): the trend-based retrain test evaluated for
+    every day at once with ROWS frames over the metric history of a run.
+
+    bad = (rmse > base*(1+r) and mae > base*(1+m)) or |bias| > limit;
+    trigger = history >= min_points, latest n_samples >= floor, the last k
+    points all bad, and mean(last 3) - mean(previous 3) above a step for
+    rmse or |bias|. The window is per run over days (bounded by days).
+    """
+    keys = [run_col] if run_col else []
+    w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(day_col)
+    rmse_limit = rmse_baseline * (1.0 + rmse_rel_increase)
+    mae_limit = mae_baseline * (1.0 + mae_rel_increase)
+    bad = ((F.col("rmse") > rmse_limit) & (F.col("mae") > mae_limit)) | (F.abs(F.col("bias")) > bias_limit)
+    h = history.withColumn("is_bad", bad)
+    k = consecutive_bad_points
+    last3 = w.rowsBetween(-2, 0)
+    prev3 = w.rowsBetween(-5, -3)
+    h = h.withColumns({
+        "points": F.row_number().over(w),
+        "bad_run": F.min(F.col("is_bad").cast("int")).over(w.rowsBetween(-(k - 1), 0)) == 1,
+        "rmse_step": F.avg("rmse").over(last3) - F.avg("rmse").over(prev3),
+        "bias_step": F.avg(F.abs(F.col("bias"))).over(last3) - F.avg(F.abs(F.col("bias"))).over(prev3),
+    })
+    enough = (F.col("points") >= min_points) & (F.coalesce(F.col("n_samples"), F.lit(0)) >= min_samples_latest)
+    steps = (F.col("rmse_step") > rmse_step_threshold) | (F.col("bias_step") > bias_step_threshold)
+    return h.withColumn("should_retrain", enough & F.col("bad_run") & F.col("points").__ge__(6) & steps)
+
+
+def apply_cooldown(signals: DataFrame, run_col: str, day_col: str = "day", cooldown_days: int = 14) -> DataFrame:
+    """WIN-12 cooldown: a retrain blocks further retrains for ``cooldown_days``.
+
+    Each retrain depends on the previous accepted one (a sequential scan),
+    so it runs per run with ``applyInPandas``; a group holds one row per day
+    of one run (bounded by days, never by fact rows).
+    """
+    from pyspark.sql import types as T
+    schema = T.StructType([*signals.schema.fields, T.StructField("retrain", T.BooleanType())])
+
+    def scan(pdf):
+        pdf = pdf.sort_values(day_col)
+        last = None
+        out = []
+        for d, s in zip(pdf[day_col].tolist(), pdf["should_retrain"].tolist()):
+            ok = bool(s) and (last is None or d - last >= cooldown_days)
+            if ok:
+                last = d
+            out.append(ok)
+        return pdf.assign(retrain=out)
+    return signals.groupBy(run_col).applyInPandas(scan, schema)
+
+
+def post_promotion_mean(lifecycle: DataFrame, run_col: str = "run", day_col: str = "day",
+                        metric: str = "rmse", window: int = 7) -> DataFrame:
+    """AGG-09: promotion day = first promoted retrain day (else the first
+    retrain day) of the adaptive runs; mean rolling metric per run from
+    promotion day + window onward. The day is a scalar subquery."""
+    retr = lifecycle.filter(F.col("event") == "retrain")
+    promoted = retr.filter(F.coalesce(F.col("champion_promoted"), F.lit(False)))
+    first = F.coalesce(promoted.agg(F.min(day_col)).scalar(), retr.agg(F.min(day_col)).scalar())
+    post = lifecycle.filter(F.col(day_col) >= first + window)
+    return post.groupBy(run_col).agg(F.avg(metric).alias(f"post_promotion_mean_{metric}"),
+                                     F.count(F.lit(1)).alias("days"))
+
+
+def run_summary(lifecycle: DataFrame, run_col: str = "run", day_col: str = "day") -> DataFrame:
+    """AGG-27: per run: scenario, last non-null retraining flag, days, retrain
+    and promotion counts, latest metrics (``max_by`` on the day)."""
+    last_flag = F.max_by(F.col("retraining_enabled"), F.when(F.col("retraining_enabled").isNotNull(), F.col(day_col)))
+    return lifecycle.groupBy(run_col).agg(
+        F.first("scenario", ignorenulls=True).alias("scenario"),
+        last_flag.alias("retraining_enabled"),
+        F.count_distinct(day_col).alias("days"),
+        F.count_if(F.col("event") == "retrain").alias("retrain_count"),
+        F.count_if(F.coalesce(F.col("champion_promoted"), F.lit(False))).alias("promoted_count"),
+        F.max_by("rmse", day_col).alias("latest_rmse"),
+        F.max_by("mae", day_col).alias("latest_mae"),
+        F.max_by("bias", day_col).alias("latest_bias"))
