@@ -232,14 +232,20 @@ def persistent_drift(history: DataFrame, at, lookback_days: int = 14, windows: i
 
 def persistent_degradation(history: DataFrame, windows: int = 2, rmse_limit: float = 1375.0,
                            mae_limit: float = 990.0, bias_limit: float = 900.0,
-                           end_col: str = "window_end", order_col: str | None = None) -> DataFrame:
+                           end_col: str = "window_end", order_col: str | None = None,
+                           group_by: Sequence[str] = ()) -> DataFrame:
     """AGG-18: the last N distinct window ends (keep the last row per end);
     bad = (rmse > lim and mae > lim) or |bias| > lim; triggered when N
     windows exist and all are bad."""
     from panelcast.operators.dedup import dedup_last
-    h = dedup_last(history, [end_col], order_col or F.lit(0))
-    last = h.orderBy(F.col(end_col).desc()).limit(windows)
+    keys = list(group_by)
+    h = dedup_last(history, [*keys, end_col], order_col or F.lit(0))
+    # Last N window ends per key: a rank filter (Spark applies it as a
+    # per-partition group limit before the shuffle).
+    rk = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(end_col).desc()))
+    last = h.withColumn("_rk", rk).filter(F.col("_rk") <= windows)
     bad = ((F.col("rmse") > rmse_limit) & (F.col("mae") > mae_limit)) | (F.abs(F.col("bias")) > bias_limit)
-    return last.agg(F.count(F.lit(1)).alias("windows_found"), F.count_if(bad).alias("bad_windows")).select(
-        ((F.col("windows_found") == windows) & (F.col("bad_windows") == windows)).alias("triggered"),
-        "windows_found", "bad_windows")
+    return last.groupBy(*keys).agg(F.count(F.lit(1)).alias("windows_found"), F.count_if(bad).alias("bad_windows"),
+                                   F.max(end_col).alias("performance_window_end")).select(
+        *keys, ((F.col("windows_found") == windows) & (F.col("bad_windows") == windows)).alias("triggered"),
+        "windows_found", "bad_windows", "performance_window_end")

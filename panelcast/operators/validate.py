@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 class Rule:
     name: str
     column: str
-    check: Column | None        # None = only "present and coercible"
+    check: object | None        # () -> Column; None = only "present and coercible"
     nullable: bool = False
     optional: bool = False      # column may be absent
     dtype: str | None = None    # coercion target
@@ -28,7 +28,7 @@ class Rule:
 def _rule_col(r: Rule) -> Column:
     raw = F.col(r.column)
     coerced = raw.cast("string").try_cast(r.dtype) if r.dtype else raw
-    ok = F.lit(True) if r.check is None else r.check
+    ok = F.lit(True) if r.check is None else r.check()
     coerce_ok = raw.isNull() | coerced.isNotNull()
     null_ok = F.lit(True) if r.nullable else raw.isNotNull()
     return F.coalesce(coerce_ok & null_ok & (raw.isNull() | ok), F.lit(False))
@@ -40,35 +40,35 @@ def _c(name: str, dtype: str) -> Column:
 
 # The training-row contract of the sales panel.
 TRAIN_RULES: tuple[Rule, ...] = (
-    Rule("Store>0", "Store", _c("Store", "bigint") > 0, dtype="bigint"),
+    Rule("Store>0", "Store", lambda: _c("Store", "bigint") > 0, dtype="bigint"),
     Rule("Date", "Date", None, dtype="date"),
-    Rule("Sales>=0", "Sales", _c("Sales", "double") >= 0, nullable=True, optional=True, dtype="double"),
-    Rule("Customers>=0", "Customers", _c("Customers", "bigint") >= 0, nullable=True, dtype="bigint"),
-    Rule("Open in {0,1}", "Open", _c("Open", "int").isin(0, 1), dtype="int"),
-    Rule("Promo in {0,1}", "Promo", _c("Promo", "int").isin(0, 1), dtype="int"),
-    Rule("StateHoliday in {0,a,b,c}", "StateHoliday", F.col("StateHoliday").cast("string").isin("0", "a", "b", "c")),
-    Rule("SchoolHoliday in {0,1}", "SchoolHoliday", _c("SchoolHoliday", "int").isin(0, 1), dtype="int"),
-    Rule("DayOfWeek in 1..7", "DayOfWeek", _c("DayOfWeek", "int").between(1, 7), nullable=True, optional=True,
+    Rule("Sales>=0", "Sales", lambda: _c("Sales", "double") >= 0, nullable=True, optional=True, dtype="double"),
+    Rule("Customers>=0", "Customers", lambda: _c("Customers", "bigint") >= 0, nullable=True, dtype="bigint"),
+    Rule("Open in {0,1}", "Open", lambda: _c("Open", "int").isin(0, 1), dtype="int"),
+    Rule("Promo in {0,1}", "Promo", lambda: _c("Promo", "int").isin(0, 1), dtype="int"),
+    Rule("StateHoliday in {0,a,b,c}", "StateHoliday", lambda: F.col("StateHoliday").cast("string").isin("0", "a", "b", "c")),
+    Rule("SchoolHoliday in {0,1}", "SchoolHoliday", lambda: _c("SchoolHoliday", "int").isin(0, 1), dtype="int"),
+    Rule("DayOfWeek in 1..7", "DayOfWeek", lambda: _c("DayOfWeek", "int").between(1, 7), nullable=True, optional=True,
          dtype="int"),
 )
 
 # The store-dimension contract.
 STORE_RULES: tuple[Rule, ...] = (
-    Rule("Store>0", "Store", _c("Store", "bigint") > 0, dtype="bigint"),
-    Rule("StoreType in a..d", "StoreType", F.col("StoreType").isin("a", "b", "c", "d")),
-    Rule("Assortment in a..c", "Assortment", F.col("Assortment").isin("a", "b", "c")),
-    Rule("CompetitionDistance>=0", "CompetitionDistance", _c("CompetitionDistance", "double") >= 0,
+    Rule("Store>0", "Store", lambda: _c("Store", "bigint") > 0, dtype="bigint"),
+    Rule("StoreType in a..d", "StoreType", lambda: F.col("StoreType").isin("a", "b", "c", "d")),
+    Rule("Assortment in a..c", "Assortment", lambda: F.col("Assortment").isin("a", "b", "c")),
+    Rule("CompetitionDistance>=0", "CompetitionDistance", lambda: _c("CompetitionDistance", "double") >= 0,
          nullable=True, dtype="double"),
 )
 
 # The scoring-input contract.
 INFERENCE_RULES: tuple[Rule, ...] = (
-    Rule("Store>=1", "Store", _c("Store", "bigint") >= 1, dtype="bigint"),
+    Rule("Store>=1", "Store", lambda: _c("Store", "bigint") >= 1, dtype="bigint"),
     Rule("Date", "Date", None, dtype="date"),
-    Rule("Open in {0,1}", "Open", _c("Open", "int").isin(0, 1), nullable=True, dtype="int"),
-    Rule("Promo in {0,1}", "Promo", _c("Promo", "int").isin(0, 1), nullable=True, dtype="int"),
+    Rule("Open in {0,1}", "Open", lambda: _c("Open", "int").isin(0, 1), nullable=True, dtype="int"),
+    Rule("Promo in {0,1}", "Promo", lambda: _c("Promo", "int").isin(0, 1), nullable=True, dtype="int"),
     Rule("StateHoliday", "StateHoliday", None, nullable=True),
-    Rule("SchoolHoliday in {0,1}", "SchoolHoliday", _c("SchoolHoliday", "int").isin(0, 1), nullable=True,
+    Rule("SchoolHoliday in {0,1}", "SchoolHoliday", lambda: _c("SchoolHoliday", "int").isin(0, 1), nullable=True,
          dtype="int"),
 )
 

@@ -236,7 +236,8 @@ def agg_17_persistent_drift(spark, sf_dir):
 @query("agg_18_persistent_degradation", with_ctes("""
 SELECT COUNT(*) = 2 AND COUNT(*) FILTER (WHERE (rmse > 1375.0 AND mae > 990.0) OR ABS(bias) > 900.0) = 2 AS triggered,
        COUNT(*) AS windows_found,
-       COUNT(*) FILTER (WHERE (rmse > 1375.0 AND mae > 990.0) OR ABS(bias) > 900.0) AS bad_windows
+       COUNT(*) FILTER (WHERE (rmse > 1375.0 AND mae > 990.0) OR ABS(bias) > 900.0) AS bad_windows,
+       MAX(window_end) AS performance_window_end
 FROM (SELECT * FROM rm ORDER BY window_end DESC LIMIT 2) t""", "naive_predictions", extra={"rm": """
 SELECT d AS window_end, SQRT(s2 / n) AS rmse, sa / n AS mae, s1 / n AS bias FROM (
   SELECT d, SUM(s2) OVER w AS s2, SUM(sa) OVER w AS sa, SUM(s1) OVER w AS s1, SUM(n) OVER w AS n
