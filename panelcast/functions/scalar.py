@@ -117,7 +117,8 @@ def fingerprint_agg(id_col: str | Column) -> Column:
 
 def format_value(c: str | Column, decimals: int = 2) -> Column:
     """FUN-14: 'n/a' for null, else fixed decimals."""
-    return F.coalesce(F.format_string(f"%.{decimals}f", _c(c).cast("double")), F.lit("n/a"))
+    v = _c(c).cast("double")
+    return F.when(v.isNull(), F.lit("n/a")).otherwise(F.format_string(f"%.{decimals}f", v))
 
 
 def title_name(c: str | Column) -> Column:

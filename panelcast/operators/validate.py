@@ -104,9 +104,11 @@ def violation_summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows checked and failures per rule, one aggregate for all rules."""
     cols = set(df.columns)
     present = [r for r in rules if r.column in cols or not r.optional]
-    aggs = [F.count_if(~_rule_col(r)).alias(r.name) for r in present]
+    aggs = [F.count_if(~_rule_col(r)).alias(f"_r{i}") for i, r in enumerate(present)]
     wide = df.agg(F.count(F.lit(1)).alias("rows_checked"), *aggs)
-    return wide.unpivot(["rows_checked"], [r.name for r in present], "rule", "failures")
+    pairs = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.col(f"_r{i}").alias("failures"))
+                      for i, r in enumerate(present)])
+    return wide.select("rows_checked", F.explode(pairs).alias("p")).select("p.rule", "rows_checked", "p.failures")
 
 
 def validate_inference(df: DataFrame, rules: Sequence[Rule] = INFERENCE_RULES, target: str = "Sales") -> DataFrame:
