@@ -124,3 +124,11 @@ def format_value(c: str | Column, decimals: int = 2) -> Column:
 def title_name(c: str | Column) -> Column:
     """FUN-14: scenario names such as 'promo_decay' -> 'Promo Decay'."""
     return F.initcap(F.regexp_replace(_c(c), "[_-]", " "))
+
+
+def config_hash(config: dict) -> str:
+    """FUN-12 (plan-time): SHA-256 hex of the key-sorted JSON of a config
+    with the default spaced separators."""
+    import hashlib
+    import json
+    return hashlib.sha256(json.dumps(config, sort_keys=True).encode("utf-8")).hexdigest()

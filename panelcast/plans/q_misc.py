@@ -329,3 +329,71 @@ def udf_04_dict_map(spark, sf_dir):
     m = F.create_map(F.lit("a"), F.lit("standard"), F.lit("b"), F.lit("extra"), F.lit("c"), F.lit("extended"))
     s = Inputs(spark, sf_dir).store()
     return s.select("Store", F.coalesce(F.element_at(m, F.col("StoreType")), F.lit("unknown")).alias("type_name"))
+
+
+@query("jon_02_required_match_join", with_ctes("""
+SELECT p.Store, p.Date, d.Promo2, d.StoreType FROM sales_panel p LEFT JOIN store_dim d ON p.Store = d.Store""",
+                                               "sales_panel", "store_dim"))
+def jon_02_required_match_join(spark, sf_dir):
+    """Every panel row must find its store (a miss raises inside the plan)."""
+    from panelcast.operators.joins import join_dimension_required
+    i = Inputs(spark, sf_dir)
+    return join_dimension_required(i.panel().select("Store", "Date"), i.store().select("Store", "Promo2", "StoreType"),
+                                   "Store", "Promo2")
+
+
+@query("fun_12_decision_id", """
+SELECT o_orderpriority, 'retrain-' || substr(sha256(to_json({'batch_ids': list_sort(list(DISTINCT o_orderstatus)),
+  'dataset_version': 'v-' || o_orderpriority, 'drift_window_end': CAST(NULL AS VARCHAR),
+  'feature_drift_persistent': false, 'new_training_rows': COUNT(*), 'performance_degraded': SUM(o_totalprice) > 1e6,
+  'performance_window_end': strftime(MAX(o_orderdate), '%Y-%m-%d'), 'scheduled_retraining_due': true})), 1, 16) AS decision_id
+FROM orders GROUP BY o_orderpriority""")
+def fun_12_decision_id(spark, sf_dir):
+    """Stable decision ids from per-priority signal rows (canonical JSON)."""
+    from panelcast.operators.decisions import decision_id
+    o = Inputs(spark, sf_dir).t.orders
+    sig = o.groupBy("o_orderpriority").agg(
+        F.array_sort(F.collect_set("o_orderstatus")).alias("batch_ids"),
+        F.count(F.lit(1)).alias("new_training_rows"),
+        (F.sum("o_totalprice") > 1e6).alias("performance_degraded"),
+        F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("performance_window_end"))
+    sig = sig.withColumns({"dataset_version": F.concat(F.lit("v-"), F.col("o_orderpriority")),
+                           "drift_window_end": F.lit(None).cast("string"),
+                           "feature_drift_persistent": F.lit(False), "scheduled_retraining_due": F.lit(True)})
+    return sig.select("o_orderpriority", decision_id().alias("decision_id"))
+
+
+@query("udf_02_group_transform", with_ctes("""
+SELECT Store, Date, ROUND(CASE WHEN COUNT(Sales) OVER w = 7 THEN AVG(Sales) OVER w ELSE 0 END, 6) AS sales_rolling_mean_7
+FROM sales_panel WINDOW w AS (PARTITION BY Store ORDER BY Date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""", "sales_panel"))
+def udf_02_group_transform(spark, sf_dir):
+    """``groupby.transform(lambda x: x.shift(1).rolling(7).mean())`` as a window."""
+    from panelcast.operators.features import add_rolling_means
+    p = Inputs(spark, sf_dir).panel().select("Store", "Date", "Sales")
+    return rounded(add_rolling_means(p, R, [7]).drop("Sales"))
+
+
+@query("udf_05_collect_list_aggregate", with_ctes("""
+SELECT Store, list(Promo ORDER BY Date) AS promo_history FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY Store ORDER BY Date DESC) AS rn FROM sales_panel) t WHERE rn <= 28 GROUP BY Store""",
+                                                  "sales_panel"))
+def udf_05_collect_list_aggregate(spark, sf_dir):
+    """``groupby.apply(list)`` bounded to the last 28 values per entity."""
+    from panelcast.operators.state import create_state
+    p = Inputs(spark, sf_dir).panel()
+    st = create_state(p, Roles(target="Promo"), 28)
+    return st.select(F.col("entity").alias("Store"), F.transform("history", lambda x: x.cast("int")).alias("promo_history"))
+
+
+@query("udf_06_statistical_tails", """
+SELECT x, dof, ROUND(CASE WHEN dof % 2 = 0 THEN EXP(-x / 2.0) * (SELECT SUM(EXP(i * LN(x / 2.0) - lgamma(i + 1)))
+                                                         FROM generate_series(0, CAST(dof / 2 - 1 AS BIGINT)) g(i))
+                  END, 6) AS p_value
+FROM (SELECT CAST(p_size AS DOUBLE) AS x, CAST(2 * (1 + p_size % 10) AS INT) AS dof FROM part) t""")
+def udf_06_statistical_tails(spark, sf_dir):
+    """Chi-square upper tails as JVM expressions (even degrees of freedom
+    checked against an independent lgamma series)."""
+    from panelcast.functions.stats import chi2_sf
+    p = Inputs(spark, sf_dir).t.part.select(F.col("p_size").cast("double").alias("x"),
+                                           (2 * (1 + F.col("p_size") % 10)).cast("int").alias("dof"))
+    return rounded(p.select("x", "dof", chi2_sf(F.col("x"), F.col("dof")).alias("p_value")))
