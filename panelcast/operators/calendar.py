@@ -124,11 +124,13 @@ def merge_calendar(df: DataFrame, calendar: DataFrame, roles: Roles = Roles(), s
     joined = base.join(cal, keys, "left")
     hit = F.col("_cal_hit").isNotNull()
     if strict:
-        joined = joined.withColumn("_cal_hit", F.when(hit, F.lit(True)).otherwise(
+        # A filter predicate is always evaluated (a dropped helper column would
+        # be pruned by the optimizer together with its check).
+        check = F.when(hit, F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("Calendar has no row for key "),
                                    F.col(roles.entity).cast("string"), F.lit(" "),
-                                   F.col(roles.time).cast("string")))))
-        return joined.drop("_cal_hit")
+                                   F.col(roles.time).cast("string"))).cast("boolean"))
+        return joined.filter(check).drop("_cal_hit")
     fills = {c: F.when(hit, F.col(c)).otherwise(
         F.lit(0 if c.startswith("is_") else UNMATCHED_DISTANCE)) for c in CALENDAR_FEATURE_COLUMNS}
     return joined.withColumns(fills).drop("_cal_hit")
