@@ -200,3 +200,23 @@ def fun_10_file_content_batch_id(spark, sf_dir):
     path = _write_batches(spark, sf_dir, "fun10")
     return spark.read.format("binaryFile").load(f"{path}/year=*/*.csv").select(
         "path", content_batch_id(F.col("content")).alias("batch_id"))
+
+
+def _register_file_oracles() -> None:
+    """Readers that return the written rows unchanged get SQL oracles."""
+    from panelcast.plans.q_calendar import RAW_ROWS_SQL
+    from panelcast.plans.registry import ORACLES
+    from panelcast.plans.sql import with_ctes
+    cols = ", ".join(SALES_COLS)
+    ORACLES["src_01_typed_csv_scan"] = with_ctes(f"SELECT {cols} FROM raw", extra={"raw": RAW_ROWS_SQL})
+    ORACLES["src_02_column_pruned_csv_scan"] = with_ctes(
+        "SELECT Store, Date, StateHoliday, SchoolHoliday FROM raw", extra={"raw": RAW_ROWS_SQL})
+    ORACLES["src_04_suffix_dispatched_load"] = with_ctes(
+        "SELECT *, 'parquet' AS fmt FROM sales_panel UNION ALL SELECT *, 'csv' AS fmt FROM sales_panel", "sales_panel")
+    ORACLES["src_06_optional_source"] = (
+        "SELECT CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS VARCHAR) AS feature_type, CAST(NULL AS VARCHAR) AS metric_type, "
+        "CAST(NULL AS DOUBLE) AS score, CAST(NULL AS DOUBLE) AS p_value, CAST(NULL AS DOUBLE) AS threshold, "
+        "CAST(NULL AS BOOLEAN) AS drift_detected, CAST(NULL AS BIGINT) AS reference_n, CAST(NULL AS BIGINT) AS current_n, "
+        "CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS TIMESTAMP) AS timestamp WHERE false")
+    ORACLES["snk_04_state_write_read"] = ORACLES["win_07_tail_n_state"]
+
