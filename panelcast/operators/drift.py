@@ -9,7 +9,8 @@ distinct values of a feature into one task, so instead:
 2. ``repartitionByRange`` on (feature, value) -> balanced ordered slices,
    checkpointed so that slice ids are fixed for both consumers;
 3. per-slice totals (one row per slice), prefix offsets by a window over
-   that small table (bounded by slices x features) -> broadcast;
+   that small table (slices x features rows), joined back (broadcast by the
+   planner when under its size threshold);
 4. slice-local running sums (``mapInPandas`` over the sorted slice), plus
    the offsets = global cumulative counts; D = max |F_ref - F_cur|.
 """
@@ -92,8 +93,10 @@ def ks_statistic(long: DataFrame, keys: Sequence[str] = ("feature",), slices: in
     schema = T.StructType([*ranged.schema.fields, T.StructField("cum_ref", T.DoubleType()),
                            T.StructField("cum_cur", T.DoubleType())])
     local = ranged.sortWithinPartitions(*keys, "value").mapInPandas(_local_cumsum(keys), schema)
-    # offsets / sizes: one row per (slice, key) / key -> bounded, broadcast.
-    g = (local.join(F.broadcast(offsets), [*keys, "slice"]).join(F.broadcast(sizes), keys))
+    # offsets / sizes: one row per (slice, key) / key. Without group keys
+    # that is slices x features rows; the planner (and AQE at runtime)
+    # broadcasts them when under the size threshold.
+    g = local.join(offsets, [*keys, "slice"]).join(sizes, keys)
     f_ref = F.try_divide(F.col("o_ref") + F.col("cum_ref"), F.col("n_ref"))
     f_cur = F.try_divide(F.col("o_cur") + F.col("cum_cur"), F.col("n_cur"))
     d = g.groupBy(*keys).agg(F.max(F.abs(f_ref - f_cur)).alias("score"))
@@ -141,10 +144,11 @@ def categorical_drift(reference: DataFrame, current: DataFrame, features: Sequen
     keys = [*group_cols, "feature"]
     counts = long.groupBy(*keys, "value").agg(
         F.sum(1 - F.col("side")).alias("c_ref"), F.sum("side").alias("c_cur"))
-    w = Window.partitionBy(*keys)
-    n_ref, n_cur = F.sum("c_ref").over(w), F.sum("c_cur").over(w)
-    # The window is over categories of a feature (distinct values): bounded by cardinality.
-    per = counts.select(*keys, "c_ref", "c_cur", n_ref.alias("n_ref"), n_cur.alias("n_cur"))
+    # Sample sizes per feature: a small aggregate (one row per feature and
+    # group) joined back -- no window over all categories. The planner
+    # broadcasts it when its size is under the threshold (AQE at runtime).
+    sizes = counts.groupBy(*keys).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
+    per = counts.join(sizes, keys)
     expected = F.greatest(F.col("c_ref") / F.col("n_ref") * F.col("n_cur"), F.lit(EXPECTED_FLOOR))
     stat = per.groupBy(*keys).agg(
         F.sum((F.col("c_cur") - expected) ** 2 / expected).alias("score"),

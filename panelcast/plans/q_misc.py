@@ -192,13 +192,15 @@ def fun_10_content_batch_id(spark, sf_dir):
     return d.select("doc_id", S.content_batch_id(F.col("text")).alias("batch_id"))
 
 
-@query("fun_11_dataset_fingerprint", """
-SELECT lang, 'batch-' || substr(sha256(array_to_string(list_sort(list(DISTINCT CAST(doc_id AS VARCHAR))), '|')), 1, 16) AS fingerprint
-FROM documents GROUP BY lang""")
+@query("fun_11_dataset_fingerprint", with_ctes("""
+SELECT Store, year(Date) AS year,
+       'batch-' || substr(sha256(array_to_string(list_sort(list(DISTINCT file)), '|')), 1, 16) AS fingerprint
+FROM raw GROUP BY Store, year(Date)""", extra={"raw": RAW_ROWS_SQL}))
 def fun_11_dataset_fingerprint(spark, sf_dir):
-    """Fingerprint of the document ids per language (ids sorted as text)."""
-    d = Inputs(spark, sf_dir).t.documents
-    return d.groupBy("lang").agg(S.fingerprint_agg("doc_id").alias("fingerprint"))
+    """Fingerprint of the batch ids (store-day files) per store and year:
+    the id set of a group is bounded by its days."""
+    raw = raw_sales_rows(Inputs(spark, sf_dir).t.lineitem)
+    return raw.groupBy("Store", F.year("Date").alias("year")).agg(S.fingerprint_agg("file").alias("fingerprint"))
 
 
 @query("fun_13_name_normalise", with_ctes("""
