@@ -29,9 +29,14 @@ def run_boundaries(flag: Column, w: Window) -> tuple[Column, Column]:
     return flag & ~prev, flag & ~nxt
 
 
-def distance_to_next(event: Column, date: Column, w: Window, maximum: int) -> Column:
-    """JON-09: days to the next event date >= date; none -> max+1; clipped to [0, max+1]."""
-    nxt = F.min(F.when(event, date)).over(w.rowsBetween(0, Window.unboundedFollowing))
+def distance_to_next(event: Column, date: Column, w_desc: Window, maximum: int) -> Column:
+    """JON-09: days to the next event date >= date; none -> max+1; clipped to [0, max+1].
+
+    ``w_desc`` orders the entity by time DESCENDING: the next event is a
+    running min from the end (a frame ending at the current row is
+    incremental; a frame running to the partition end would be recomputed
+    for every row, which is quadratic)."""
+    nxt = F.min(F.when(event, date)).over(w_desc.rowsBetween(Window.unboundedPreceding, 0))
     return _clip(F.datediff(nxt, date), maximum)
 
 
@@ -54,6 +59,7 @@ def add_known_calendar(df: DataFrame, roles: Roles = Roles(), maximum_distance:
     Expects one row per (entity, time); see ``build_known_calendar``.
     """
     w = Window.partitionBy(roles.entity).orderBy(roles.time)
+    wd = Window.partitionBy(roles.entity).orderBy(F.col(roles.time).desc())
     date = F.col(roles.time).cast("date")
     state = is_state_holiday(state_col)
     school = is_one(school_col)
@@ -61,11 +67,11 @@ def add_known_calendar(df: DataFrame, roles: Roles = Roles(), maximum_distance:
     df = df.withColumns({"_sh": state, "_ss": start, "_se": end})
     sh, ss, se = F.col("_sh"), F.col("_ss"), F.col("_se")
     df = df.withColumns({
-        "days_until_state_holiday": distance_to_next(sh, date, w, maximum_distance),
+        "days_until_state_holiday": distance_to_next(sh, date, wd, maximum_distance),
         "days_since_state_holiday": distance_to_previous(sh, date, w, maximum_distance),
-        "days_until_school_holiday_start": distance_to_next(ss, date, w, maximum_distance),
+        "days_until_school_holiday_start": distance_to_next(ss, date, wd, maximum_distance),
         "days_since_school_holiday_start": distance_to_previous(ss, date, w, maximum_distance),
-        "days_until_school_holiday_end": distance_to_next(se, date, w, maximum_distance),
+        "days_until_school_holiday_end": distance_to_next(se, date, wd, maximum_distance),
         "days_since_school_holiday_end": distance_to_previous(se, date, w, maximum_distance),
         "is_school_holiday_start": ss.cast("int"),
         "is_school_holiday_end": se.cast("int"),

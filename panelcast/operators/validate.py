@@ -19,56 +19,65 @@ from pyspark.sql import functions as F
 class Rule:
     name: str
     column: str
-    check: object | None        # () -> Column; None = only "present and coercible"
+    check: object | None        # coerced Column -> Column; None = only "present and coercible"
     nullable: bool = False
     optional: bool = False      # column may be absent
     dtype: str | None = None    # coercion target
 
 
-def _rule_col(r: Rule) -> Column:
+def _coerced(r: Rule, types: dict[str, str]) -> Column:
+    """The column coerced to the rule's type: a plain (try) cast from
+    numeric / date sources, a parse only when the source is text."""
     raw = F.col(r.column)
-    coerced = raw.cast("string").try_cast(r.dtype) if r.dtype else raw
-    ok = F.lit(True) if r.check is None else r.check()
-    coerce_ok = raw.isNull() | coerced.isNotNull()
+    if not r.dtype or types.get(r.column) == r.dtype:
+        return raw
+    return raw.try_cast(r.dtype)
+
+
+def _rule_col(r: Rule, types: dict[str, str]) -> Column:
+    raw = F.col(r.column)
+    coerced = _coerced(r, types)
+    ok = F.lit(True) if r.check is None else r.check(coerced)
+    coerce_ok = raw.isNull() | coerced.isNotNull() if r.dtype and types.get(r.column) != r.dtype else F.lit(True)
     null_ok = F.lit(True) if r.nullable else raw.isNotNull()
     return F.coalesce(coerce_ok & null_ok & (raw.isNull() | ok), F.lit(False))
 
 
-def _c(name: str, dtype: str) -> Column:
-    return F.col(name).cast("string").try_cast(dtype)
+def _types(df: DataFrame) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
 
 # The training-row contract of the sales panel.
 TRAIN_RULES: tuple[Rule, ...] = (
-    Rule("Store>0", "Store", lambda: _c("Store", "bigint") > 0, dtype="bigint"),
+    Rule("Store>0", "Store", lambda c: c > 0, dtype="bigint"),
     Rule("Date", "Date", None, dtype="date"),
-    Rule("Sales>=0", "Sales", lambda: _c("Sales", "double") >= 0, nullable=True, optional=True, dtype="double"),
-    Rule("Customers>=0", "Customers", lambda: _c("Customers", "bigint") >= 0, nullable=True, dtype="bigint"),
-    Rule("Open in {0,1}", "Open", lambda: _c("Open", "int").isin(0, 1), dtype="int"),
-    Rule("Promo in {0,1}", "Promo", lambda: _c("Promo", "int").isin(0, 1), dtype="int"),
-    Rule("StateHoliday in {0,a,b,c}", "StateHoliday", lambda: F.col("StateHoliday").cast("string").isin("0", "a", "b", "c")),
-    Rule("SchoolHoliday in {0,1}", "SchoolHoliday", lambda: _c("SchoolHoliday", "int").isin(0, 1), dtype="int"),
-    Rule("DayOfWeek in 1..7", "DayOfWeek", lambda: _c("DayOfWeek", "int").between(1, 7), nullable=True, optional=True,
+    Rule("Sales>=0", "Sales", lambda c: c >= 0, nullable=True, optional=True, dtype="double"),
+    Rule("Customers>=0", "Customers", lambda c: c >= 0, nullable=True, dtype="bigint"),
+    Rule("Open in {0,1}", "Open", lambda c: c.isin(0, 1), dtype="int"),
+    Rule("Promo in {0,1}", "Promo", lambda c: c.isin(0, 1), dtype="int"),
+    Rule("StateHoliday in {0,a,b,c}", "StateHoliday", lambda c: c.cast("string").isin("0", "a", "b", "c")),
+    Rule("SchoolHoliday in {0,1}", "SchoolHoliday", lambda c: c.isin(0, 1), dtype="int"),
+    Rule("DayOfWeek in 1..7", "DayOfWeek", lambda c: c.between(1, 7), nullable=True, optional=True,
          dtype="int"),
 )
 
 # The store-dimension contract.
 STORE_RULES: tuple[Rule, ...] = (
-    Rule("Store>0", "Store", lambda: _c("Store", "bigint") > 0, dtype="bigint"),
-    Rule("StoreType in a..d", "StoreType", lambda: F.col("StoreType").isin("a", "b", "c", "d")),
-    Rule("Assortment in a..c", "Assortment", lambda: F.col("Assortment").isin("a", "b", "c")),
-    Rule("CompetitionDistance>=0", "CompetitionDistance", lambda: _c("CompetitionDistance", "double") >= 0,
+    Rule("Store>0", "Store", lambda c: c > 0, dtype="bigint"),
+    Rule("StoreType in a..d", "StoreType", lambda c: c.isin("a", "b", "c", "d")),
+    Rule("Assortment in a..c", "Assortment", lambda c: c.isin("a", "b", "c")),
+    Rule("CompetitionDistance>=0", "CompetitionDistance", lambda c: c >= 0,
          nullable=True, dtype="double"),
 )
 
 # The scoring-input contract.
 INFERENCE_RULES: tuple[Rule, ...] = (
-    Rule("Store>=1", "Store", lambda: _c("Store", "bigint") >= 1, dtype="bigint"),
+    Rule("Store>=1", "Store", lambda c: c >= 1, dtype="bigint"),
     Rule("Date", "Date", None, dtype="date"),
-    Rule("Open in {0,1}", "Open", lambda: _c("Open", "int").isin(0, 1), nullable=True, dtype="int"),
-    Rule("Promo in {0,1}", "Promo", lambda: _c("Promo", "int").isin(0, 1), nullable=True, dtype="int"),
+    Rule("Open in {0,1}", "Open", lambda c: c.isin(0, 1), nullable=True, dtype="int"),
+    Rule("Promo in {0,1}", "Promo", lambda c: c.isin(0, 1), nullable=True, dtype="int"),
     Rule("StateHoliday", "StateHoliday", None, nullable=True),
-    Rule("SchoolHoliday in {0,1}", "SchoolHoliday", lambda: _c("SchoolHoliday", "int").isin(0, 1), nullable=True,
+    Rule("SchoolHoliday in {0,1}", "SchoolHoliday", lambda c: c.isin(0, 1), nullable=True,
          dtype="int"),
 )
 
@@ -77,13 +86,14 @@ def violations(df: DataFrame, rules: Sequence[Rule]) -> Column:
     """Array of failed rule names for each row (a missing required column
     is a plan-time error, like a schema check)."""
     cols = set(df.columns)
+    types = _types(df)
     checks = []
     for r in rules:
         if r.column not in cols:
             if r.optional:
                 continue
             raise ValueError(f"column '{r.column}' not in dataframe")
-        checks.append(F.when(~_rule_col(r), F.lit(r.name)))
+        checks.append(F.when(~_rule_col(r, types), F.lit(r.name)))
     return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
 
 
@@ -104,7 +114,8 @@ def violation_summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows checked and failures per rule, one aggregate for all rules."""
     cols = set(df.columns)
     present = [r for r in rules if r.column in cols or not r.optional]
-    aggs = [F.count_if(~_rule_col(r)).alias(f"_r{i}") for i, r in enumerate(present)]
+    types = _types(df)
+    aggs = [F.count_if(~_rule_col(r, types)).alias(f"_r{i}") for i, r in enumerate(present)]
     wide = df.agg(F.count(F.lit(1)).alias("rows_checked"), *aggs)
     pairs = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.col(f"_r{i}").alias("failures"))
                       for i, r in enumerate(present)])

@@ -90,7 +90,7 @@ FROM sales_panel""", "sales_panel"))
 def jon_09_asof_next_event(spark, sf_dir):
     """As-of distance to the next promo day (>= today) per store, clipped at 31."""
     p = Inputs(spark, sf_dir).panel()
-    w = Window.partitionBy("Store").orderBy("Date")
+    w = Window.partitionBy("Store").orderBy(F.col("Date").desc())
     return p.select("Store", "Date", distance_to_next(F.col("Promo") == 1, F.col("Date"), w, 30)
                     .alias("days_until_promo"))
 
