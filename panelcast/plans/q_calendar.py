@@ -170,7 +170,7 @@ def fun_02_competition_age(spark, sf_dir):
 
 @query("fun_03_promo2_age", with_ctes("""
 SELECT Store, Date, ROUND(CASE WHEN 12 * (year(Date) - Promo2SinceYear) + (week(Date) - Promo2SinceWeek) / 4.0 < 0 THEN 0.0
-  ELSE 12 * (year(Date) - Promo2SinceYear) + (week(Date) - Promo2SinceWeek) / 4.0 END, 6) AS PromoOpen
+  ELSE 12 * (year(Date) - Promo2SinceYear) + (week(Date) - Promo2SinceWeek) / 4.0 END, 4) AS PromoOpen
 FROM base""", "sales_panel", "store_dim", extra={"base": _FEAT_BASE}))
 def fun_03_promo2_age(spark, sf_dir):
     i = Inputs(spark, sf_dir)
@@ -206,13 +206,13 @@ SELECT b.Store, b.Date, b.Sales, b.Customers, b.Open, b.Promo, b.StateHoliday, b
        CAST(day(b.Date) AS INT) AS day_of_month,
        COALESCE(LAG(b.Sales, 1) OVER w, 0) AS sales_lag_1, COALESCE(LAG(b.Sales, 7) OVER w, 0) AS sales_lag_7,
        COALESCE(LAG(b.Sales, 14) OVER w, 0) AS sales_lag_14, COALESCE(LAG(b.Sales, 28) OVER w, 0) AS sales_lag_28,
-       ROUND(CASE WHEN COUNT(b.Sales) OVER w7 = 7 THEN AVG(b.Sales) OVER w7 ELSE 0 END, 6) AS sales_rolling_mean_7,
-       ROUND(CASE WHEN COUNT(b.Sales) OVER w14 = 14 THEN AVG(b.Sales) OVER w14 ELSE 0 END, 6) AS sales_rolling_mean_14,
-       ROUND(CASE WHEN COUNT(b.Sales) OVER w28 = 28 THEN AVG(b.Sales) OVER w28 ELSE 0 END, 6) AS sales_rolling_mean_28,
+       ROUND(CASE WHEN COUNT(b.Sales) OVER w7 = 7 THEN AVG(b.Sales) OVER w7 ELSE 0 END, 4) AS sales_rolling_mean_7,
+       ROUND(CASE WHEN COUNT(b.Sales) OVER w14 = 14 THEN AVG(b.Sales) OVER w14 ELSE 0 END, 4) AS sales_rolling_mean_14,
+       ROUND(CASE WHEN COUNT(b.Sales) OVER w28 = 28 THEN AVG(b.Sales) OVER w28 ELSE 0 END, 4) AS sales_rolling_mean_28,
        CAST(CASE WHEN 12 * (year(b.Date) - b.CompetitionOpenSinceYear) + (month(b.Date) - b.CompetitionOpenSinceMonth) > 0
          THEN 12 * (year(b.Date) - b.CompetitionOpenSinceYear) + (month(b.Date) - b.CompetitionOpenSinceMonth) ELSE 0 END AS DOUBLE) AS CompetitionOpen,
        ROUND(CASE WHEN 12 * (year(b.Date) - b.Promo2SinceYear) + (week(b.Date) - b.Promo2SinceWeek) / 4.0 < 0 THEN 0.0
-         ELSE 12 * (year(b.Date) - b.Promo2SinceYear) + (week(b.Date) - b.Promo2SinceWeek) / 4.0 END, 6) AS PromoOpen,
+         ELSE 12 * (year(b.Date) - b.Promo2SinceYear) + (week(b.Date) - b.Promo2SinceWeek) / 4.0 END, 4) AS PromoOpen,
        r.promo_change, r.promo_group, r.days_since_promo_start
 FROM base b JOIN runs r ON b.Store = r.Store AND b.Date = r.Date
 WINDOW w AS (PARTITION BY b.Store ORDER BY b.Date),

@@ -20,7 +20,7 @@ R = Roles()
 
 
 def _r(x: str) -> str:
-    return f"ROUND({x}, 6)"
+    return f"ROUND({x}, 4)"
 
 
 _PROMO_SQL = with_ctes(f"""
@@ -200,7 +200,7 @@ SELECT o_orderpriority, last_ts,
   CASE WHEN TRY_CAST(last_ts AS TIMESTAMP) IS NOT NULL AND now >= TRY_CAST(last_ts AS TIMESTAMP)
        THEN now - TRY_CAST(last_ts AS TIMESTAMP) >= INTERVAL 168 HOUR ELSE false END AS scheduled_retraining_due,
   CASE WHEN TRY_CAST(last_ts AS TIMESTAMP) IS NOT NULL AND now >= TRY_CAST(last_ts AS TIMESTAMP)
-       THEN ROUND(epoch(now - TRY_CAST(last_ts AS TIMESTAMP)) / 3600.0 / 24.0, 6) END AS days_since_last_training
+       THEN ROUND(epoch(now - TRY_CAST(last_ts AS TIMESTAMP)) / 3600.0 / 24.0, 4) END AS days_since_last_training
 FROM (SELECT o_orderpriority, strftime(MAX(o_orderdate), '%Y-%m-%dT%H:%M:%S') AS last_ts,
              (SELECT MAX(o_orderdate) FROM orders) - INTERVAL 5 DAY AS now
       FROM orders GROUP BY o_orderpriority

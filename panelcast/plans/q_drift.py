@@ -35,7 +35,7 @@ def _samples(spark, sf_dir):
 
 
 @query("agg_10_missingness", with_ctes(" UNION ALL ".join(
-    f"SELECT '{c}' AS column, ROUND(AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS missing_rate FROM store_dim"
+    f"SELECT '{c}' AS column, ROUND(AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 4) AS missing_rate FROM store_dim"
     for c in STORE_COLS), "store_dim"))
 def agg_10_missingness(spark, sf_dir):
     return rounded(missingness(Inputs(spark, sf_dir).store()))
@@ -84,8 +84,8 @@ def _ks_sql(features, group: str | None = None, src_ref="ref", src_cur="cur", va
     p = ks_pvalue_sql("d", "reference_n", "current_n")
     return f"""
 SELECT {gk}feature, 'numeric' AS feature_type, 'ks' AS metric_type,
-  ROUND(CASE WHEN {short} THEN 0.0 ELSE d END, 6) AS score,
-  ROUND(CASE WHEN {short} THEN 1.0 ELSE {p} END, 6) AS p_value,
+  ROUND(CASE WHEN {short} THEN 0.0 ELSE d END, 4) AS score,
+  ROUND(CASE WHEN {short} THEN 1.0 ELSE {p} END, 4) AS p_value,
   CAST({stat_thr} AS DOUBLE) AS threshold,
   CASE WHEN {short} THEN false ELSE ({p}) < {p_thr} AND d > {stat_thr} END AS drift_detected,
   reference_n, current_n, CASE WHEN {short} THEN 'insufficient_samples' ELSE '' END AS reason
@@ -151,8 +151,8 @@ def _chi_sql(features, group: str | None = None) -> str:
     short = "reference_n < 50 OR current_n < 50"
     return f"""
 SELECT {gk}feature, 'categorical' AS feature_type, 'chisquare' AS metric_type,
-  ROUND(CASE WHEN {short} THEN 0.0 ELSE score END, 6) AS score,
-  ROUND(CASE WHEN {short} THEN 1.0 ELSE {p} END, 6) AS p_value, CAST(0.01 AS DOUBLE) AS threshold,
+  ROUND(CASE WHEN {short} THEN 0.0 ELSE score END, 4) AS score,
+  ROUND(CASE WHEN {short} THEN 1.0 ELSE {p} END, 4) AS p_value, CAST(0.01 AS DOUBLE) AS threshold,
   CASE WHEN {short} THEN false ELSE {p} < 0.01 END AS drift_detected,
   reference_n, current_n, CASE WHEN {short} THEN 'insufficient_samples' ELSE '' END AS reason
 FROM (

@@ -27,6 +27,10 @@ def _models(i: Inputs):
 
 
 def _r(x: str) -> str:
+    return f"ROUND({x}, 4)"
+
+
+def _r6(x: str) -> str:
     return f"ROUND({x}, 6)"
 
 
@@ -93,12 +97,12 @@ _FOLDS = {
 
 
 @query("agg_06_daily_diagnostics", with_ctes(f"""
-SELECT fold, Date AS date, COUNT(*) AS rows, {_r("AVG(Sales)")} AS actual_mean, {_r("AVG(prediction)")} AS prediction_mean,
-  {_r("SUM(Sales)")} AS actual_sum, {_r("SUM(prediction)")} AS prediction_sum,
-  {_r("SQRT(AVG((Sales - prediction) * (Sales - prediction)))")} AS rmse, {_r("AVG(ABS(Sales - prediction))")} AS mae,
-  {_r("AVG(Sales - prediction)")} AS bias,
-  {_r("CASE WHEN SUM(ABS(Sales)) > 0 THEN SUM(ABS(Sales - prediction)) / SUM(ABS(Sales)) END")} AS wmape,
-  {_r("SQRT(AVG(CASE WHEN Sales <> 0 THEN ((Sales - prediction) / Sales) * ((Sales - prediction) / Sales) END))")} AS rmspe,
+SELECT fold, Date AS date, COUNT(*) AS rows, {_r6("AVG(Sales)")} AS actual_mean, {_r6("AVG(prediction)")} AS prediction_mean,
+  {_r6("SUM(Sales)")} AS actual_sum, {_r6("SUM(prediction)")} AS prediction_sum,
+  {_r6("SQRT(AVG((Sales - prediction) * (Sales - prediction)))")} AS rmse, {_r6("AVG(ABS(Sales - prediction))")} AS mae,
+  {_r6("AVG(Sales - prediction)")} AS bias,
+  {_r6("CASE WHEN SUM(ABS(Sales)) > 0 THEN SUM(ABS(Sales - prediction)) / SUM(ABS(Sales)) END")} AS wmape,
+  {_r6("SQRT(AVG(CASE WHEN Sales <> 0 THEN ((Sales - prediction) / Sales) * ((Sales - prediction) / Sales) END))")} AS rmspe,
   COUNT(*) FILTER (WHERE Open = 1) AS open_stores, COUNT(*) FILTER (WHERE Open = 0) AS closed_stores,
   COUNT(*) FILTER (WHERE Promo = 1) AS promo_stores, COUNT(*) FILTER (WHERE SchoolHoliday = 1) AS school_holiday_stores,
   COUNT(*) FILTER (WHERE lower(trim(COALESCE(StateHoliday, 'nan'))) NOT IN ('0', '0.0', '', 'nan', 'none')) AS state_holiday_stores
@@ -107,7 +111,8 @@ def agg_06_daily_diagnostics(spark, sf_dir):
     """Walk-forward validation blocks (4 x 14 days), per fold and date."""
     tagged = walk_forward(Inputs(spark, sf_dir).predictions(), R, 4, 14)
     val = tagged.filter(F.col("role") == "validation").drop("role", "block_start", "block_end")
-    return rounded(M.daily_diagnostics(val))
+    # 6 places: means of cent values are short decimals (ties at 4 places)
+    return rounded(M.daily_diagnostics(val), 6)
 
 
 @query("agg_07_fold_summary", with_ctes(f"""
@@ -205,8 +210,8 @@ SELECT run, day, is_bad, points, bad_run, rmse_step, bias_step,
   points >= 14 AND n_samples >= 100 AND bad_run AND points >= 6 AND (rmse_step > 250.0 OR bias_step > 200.0) AS should_retrain
 FROM (SELECT *, ROW_NUMBER() OVER w AS points,
         MIN(CAST(is_bad AS INT)) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 1 AS bad_run,
-        ROUND(AVG(rmse) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) - AVG(rmse) OVER (w ROWS BETWEEN 5 PRECEDING AND 3 PRECEDING), 6) AS rmse_step,
-        ROUND(AVG(ABS(bias)) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) - AVG(ABS(bias)) OVER (w ROWS BETWEEN 5 PRECEDING AND 3 PRECEDING), 6) AS bias_step
+        ROUND(AVG(rmse) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) - AVG(rmse) OVER (w ROWS BETWEEN 5 PRECEDING AND 3 PRECEDING), 4) AS rmse_step,
+        ROUND(AVG(ABS(bias)) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) - AVG(ABS(bias)) OVER (w ROWS BETWEEN 5 PRECEDING AND 3 PRECEDING), 4) AS bias_step
       FROM (SELECT *, (rmse > 1690.0 AND mae > 1125.0) OR ABS(bias) > 900.0 AS is_bad FROM life) b
       WINDOW w AS (PARTITION BY run ORDER BY day)) s"""
 

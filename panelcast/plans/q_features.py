@@ -54,7 +54,7 @@ def win_01_grouped_lags(spark, sf_dir):
 
 def _rolling_sql(n: int) -> str:
     frame = f"(PARTITION BY Store ORDER BY Date ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
-    return (f"ROUND(CASE WHEN COUNT(Sales) OVER {frame} = {n} THEN AVG(Sales) OVER {frame} ELSE 0 END, 6)"
+    return (f"ROUND(CASE WHEN COUNT(Sales) OVER {frame} = {n} THEN AVG(Sales) OVER {frame} ELSE 0 END, 4)"
             f" AS sales_rolling_mean_{n}")
 
 
@@ -67,8 +67,8 @@ def win_02_shifted_rolling_mean(spark, sf_dir):
 
 
 @query("win_09_rolling_metrics", with_ctes("""
-SELECT window_start, window_end, ROUND(SQRT(s2 / n), 6) AS rmse, ROUND(sa / n, 6) AS mae,
-       ROUND(s1 / n, 6) AS bias, n AS n_samples
+SELECT window_start, window_end, ROUND(SQRT(s2 / n), 4) AS rmse, ROUND(sa / n, 4) AS mae,
+       ROUND(s1 / n, 4) AS bias, n AS n_samples
 FROM (
   SELECT CAST(d - 7 AS DATE) AS window_start, d AS window_end,
          SUM(s2) OVER w AS s2, SUM(sa) OVER w AS sa, SUM(s1) OVER w AS s1, SUM(n) OVER w AS n
@@ -83,8 +83,8 @@ def win_09_rolling_metrics(spark, sf_dir):
 
 
 @query("agg_01_regression_metrics", with_ctes("""
-SELECT ROUND(SQRT(AVG((Sales - prediction) * (Sales - prediction))), 6) AS rmse,
-       ROUND(AVG(ABS(Sales - prediction)), 6) AS mae, ROUND(AVG(Sales - prediction), 6) AS bias,
+SELECT ROUND(SQRT(AVG((Sales - prediction) * (Sales - prediction))), 4) AS rmse,
+       ROUND(AVG(ABS(Sales - prediction)), 4) AS mae, ROUND(AVG(Sales - prediction), 4) AS bias,
        COUNT(*) AS n_samples
 FROM naive_predictions WHERE Sales IS NOT NULL AND prediction IS NOT NULL""", "naive_predictions"))
 def agg_01_regression_metrics(spark, sf_dir):

@@ -124,8 +124,8 @@ def prj_15_request_sample(spark, sf_dir):
 
 
 @query("prj_16_scenario_uplift", with_ctes("""
-SELECT Store, Date, day, ROUND(progress, 6) AS progress, ROUND(1.0 + 0.1 * progress, 6) AS base_multiplier,
-       ROUND(1.0 + 0.35 * progress, 6) AS promo_multiplier,
+SELECT Store, Date, day, ROUND(progress, 4) AS progress, ROUND(1.0 + 0.1 * progress, 4) AS base_multiplier,
+       ROUND(1.0 + 0.35 * progress, 4) AS promo_multiplier,
        CAST(round_even(Sales * CASE WHEN Promo = 1 THEN 1.0 + 0.35 * progress ELSE 1.0 + 0.1 * progress END, 0) AS BIGINT) AS Sales
 FROM (SELECT *, CASE WHEN day < 46 THEN 0.0 ELSE LEAST((day - 46 + 1) / 14.0, 1.0) END AS progress
       FROM (SELECT *, DENSE_RANK() OVER (ORDER BY Date) AS day FROM va) d) x""", "sales_panel", extra={
@@ -166,12 +166,12 @@ def fun_06_boolean_text_parse(spark, sf_dir):
 
 
 @query("fun_07_target_transform", with_ctes("""
-SELECT Store, Date, ROUND(LN(1 + Sales), 6) AS label, ROUND(EXP(LN(1 + Sales)) - 1, 4) AS restored FROM sales_panel""",
+SELECT Store, Date, ROUND(LN(1 + Sales), 4) AS label, ROUND(EXP(LN(1 + Sales)) - 1, 4) AS restored FROM sales_panel""",
                                             "sales_panel"))
 def fun_07_target_transform(spark, sf_dir):
     p = Inputs(spark, sf_dir).panel()
     t = p.select("Store", "Date", S.target_transform(F.col("Sales"), "log1p").alias("label"))
-    return t.select("Store", "Date", F.round("label", 6).alias("label"),
+    return t.select("Store", "Date", F.round("label", 4).alias("label"),
                     F.round(S.inverse_target_transform(F.col("label"), "log1p"), 4).alias("restored"))
 
 
@@ -366,7 +366,7 @@ def fun_12_decision_id(spark, sf_dir):
 
 
 @query("udf_02_group_transform", with_ctes("""
-SELECT Store, Date, ROUND(CASE WHEN COUNT(Sales) OVER w = 7 THEN AVG(Sales) OVER w ELSE 0 END, 6) AS sales_rolling_mean_7
+SELECT Store, Date, ROUND(CASE WHEN COUNT(Sales) OVER w = 7 THEN AVG(Sales) OVER w ELSE 0 END, 4) AS sales_rolling_mean_7
 FROM sales_panel WINDOW w AS (PARTITION BY Store ORDER BY Date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""", "sales_panel"))
 def udf_02_group_transform(spark, sf_dir):
     """``groupby.transform(lambda x: x.shift(1).rolling(7).mean())`` as a window."""
@@ -390,7 +390,7 @@ def udf_05_collect_list_aggregate(spark, sf_dir):
 @query("udf_06_statistical_tails", """
 SELECT x, dof, ROUND(CASE WHEN dof % 2 = 0 THEN EXP(-x / 2.0) * (SELECT SUM(EXP(i * LN(x / 2.0) - lgamma(i + 1)))
                                                          FROM generate_series(0, CAST(dof / 2 - 1 AS BIGINT)) g(i))
-                  END, 6) AS p_value
+                  END, 4) AS p_value
 FROM (SELECT CAST(p_size AS DOUBLE) AS x, CAST(2 * (1 + p_size % 10) AS INT) AS dof FROM part) t""")
 def udf_06_statistical_tails(spark, sf_dir):
     """Chi-square upper tails as JVM expressions (even degrees of freedom

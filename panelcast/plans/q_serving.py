@@ -17,9 +17,9 @@ SELECT b.window_start, 900 AS window_seconds, requests_total, success_total, req
   p.p50 AS latency_p50_ms, p.p95 AS latency_p95_ms, p.p99 AS latency_p99_ms, round_even(sum_h / requests_total, 0) / 100.0 AS latency_avg_ms, latency_max_ms
 FROM (SELECT window_start, COUNT(*) AS requests_total, COUNT(*) FILTER (WHERE status_code >= 200 AND status_code < 300) AS success_total,
              SUM(CAST(ROUND(lat * 100) AS BIGINT)) AS sum_h, MAX(lat) AS latency_max_ms FROM ev GROUP BY window_start) b
-JOIN (SELECT window_start, MIN(CASE WHEN cum > round_even((n - 1) * 0.5, 0) THEN lat END) AS p50,
-             MIN(CASE WHEN cum > round_even((n - 1) * 0.95, 0) THEN lat END) AS p95,
-             MIN(CASE WHEN cum > round_even((n - 1) * 0.99, 0) THEN lat END) AS p99
+JOIN (SELECT window_start, MIN(CASE WHEN cum > round_even((n - 1) * CAST(0.5 AS DOUBLE), 0) THEN lat END) AS p50,
+             MIN(CASE WHEN cum > round_even((n - 1) * CAST(0.95 AS DOUBLE), 0) THEN lat END) AS p95,
+             MIN(CASE WHEN cum > round_even((n - 1) * CAST(0.99 AS DOUBLE), 0) THEN lat END) AS p99
       FROM (SELECT window_start, lat, SUM(c) OVER (PARTITION BY window_start ORDER BY lat) AS cum,
                    SUM(c) OVER (PARTITION BY window_start) AS n
             FROM (SELECT window_start, lat, COUNT(*) AS c FROM ev GROUP BY ALL) c) x GROUP BY window_start) p
@@ -65,8 +65,9 @@ def _slo_sql() -> str:
         else:
             ple = repr(bl[i - 1]) if i > 0 else "0.0"
             pc = f"b{i - 1}" if i > 0 else "0"
-            val = f"{ple} + ({x!r} - {ple}) * (n * 0.95 - {pc}) / (b{i} - {pc})"
-        case.append(f"WHEN b{i} >= n * 0.95 THEN {val}")
+            val = (f"CAST({ple} AS DOUBLE) + (CAST({x!r} AS DOUBLE) - CAST({ple} AS DOUBLE)) * "
+                   f"(n * CAST(0.95 AS DOUBLE) - {pc}) / (b{i} - {pc})")
+        case.append(f"WHEN b{i} >= n * CAST(0.95 AS DOUBLE) THEN {val}")
     p95 = "CASE WHEN n > 0 THEN CASE " + " ".join(case) + " END END"
     return with_ctes(f"""
 SELECT make_timestamp(minute * 60 * 1000000) AS minute, n AS requests, e5 AS server_errors,
@@ -87,7 +88,8 @@ WINDOW h AS (ORDER BY minute RANGE BETWEEN 5 PRECEDING AND CURRENT ROW)""", "req
 @query("agg_25_slo_breach_rules", _slo_sql())
 def agg_25_slo_breach_rules(spark, sf_dir):
     """5xx-ratio and p95 rules of /predict, evaluated every minute."""
-    return rounded(S.slo_breaches(Inputs(spark, sf_dir).requests()))
+    # 6 places: interpolated p95 values are short binary fractions (ties at 4 places)
+    return rounded(S.slo_breaches(Inputs(spark, sf_dir).requests()), 6)
 
 
 def _alerts(spark, sf_dir):

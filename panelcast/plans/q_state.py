@@ -61,12 +61,12 @@ def _inject_sql(mode: str) -> str:
     if mode == "strict":
         rolls = ", ".join(
             f"ROUND(CASE WHEN COUNT(CASE WHEN s.rn <= {w} THEN 1 END) = {w} THEN AVG(CASE WHEN s.rn <= {w} "
-            f"THEN s.Sales END) ELSE 0.0 END, 6) AS sales_rolling_mean_{w}" for w in (7, 14, 28))
+            f"THEN s.Sales END) ELSE 0.0 END, 4) AS sales_rolling_mean_{w}" for w in (7, 14, 28))
     else:
         rolls = ", ".join(
             f"ROUND(CASE WHEN COUNT(s.rn) >= {w} THEN AVG(CASE WHEN s.rn <= {w} THEN s.Sales END) "
             f"WHEN COUNT(s.rn) = 0 THEN 0.0 "
-            f"ELSE COALESCE(SUM(s.Sales), 0.0) / GREATEST(COUNT(s.rn), 7) END, 6) AS sales_rolling_mean_{w}"
+            f"ELSE COALESCE(SUM(s.Sales), 0.0) / GREATEST(COUNT(s.rn), 7) END, 4) AS sales_rolling_mean_{w}"
             for w in (7, 14, 28))
     return with_ctes(f"""
 SELECT v.Store, v.Date, {lags}, {rolls}

@@ -27,13 +27,16 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
     if hasattr(v, "tolist"):
@@ -66,6 +69,10 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols):
     for x, y in zip(a, b):
         for u, v in zip(x, y):
             if isinstance(u, float) and isinstance(v, (float, int)) or isinstance(v, float) and isinstance(u, int):
+                if EXACT and u != v:
+                    bad += 1
+                    first = first or (x, y)
+                    break
                 if not math.isclose(u, v, rel_tol=1e-9, abs_tol=1.5e-6):
                     bad += 1
                     first = first or (x, y)
