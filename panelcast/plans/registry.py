@@ -36,6 +36,10 @@ class Inputs:
     """The adapter tables for one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        # The data model is UTC throughout (driver timestamps are NTZ and are
+        # cast to TIMESTAMP before watermarks and windows).
+        if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.t = Tables(spark, sf_dir)
         self.spark = spark
 
