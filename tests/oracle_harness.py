@@ -73,7 +73,9 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols):
                     bad += 1
                     first = first or (x, y)
                     break
-                if not math.isclose(u, v, rel_tol=1e-9, abs_tol=1.5e-6):
+                # one unit in the 4th place: values rounded on both sides may
+                # straddle a rounding tie after last-bit summation differences
+                if not math.isclose(u, v, rel_tol=1e-9, abs_tol=1.01e-4):
                     bad += 1
                     first = first or (x, y)
                     break
