@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.session import cut_lineage
 from panelcast.sources.adapters import naive_predictions, request_log, sales_panel, store_dim
 from panelcast.sources.tables import Tables
 
@@ -32,8 +33,19 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+_MATERIALIZED: dict[tuple, DataFrame] = {}
+
+
 class Inputs:
-    """The adapter tables for one scale-factor folder."""
+    """The adapter tables for one scale-factor folder.
+
+    The sales panel is the stand-in for the input table of the data model
+    (a stored table in a real pipeline). It is built once per session and
+    folder, hash-partitioned by entity and written with a reliable
+    ``checkpoint()`` into the shared checkpoint folder; the checkpoint keeps
+    that partitioning, so per-entity windows downstream need no exchange,
+    and a query that reads the panel in several branches does not rebuild it.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         # The data model is UTC throughout (driver timestamps are NTZ and are
@@ -43,7 +55,20 @@ class Inputs:
         self.t = Tables(spark, sf_dir)
         self.spark = spark
 
+    def _materialized(self, name: str, build) -> DataFrame:
+        key = (id(self.spark.sparkContext._jsc), self.t.sf_dir, name)
+        df = _MATERIALIZED.get(key)
+        if df is None:
+            df = cut_lineage(build())
+            _MATERIALIZED[key] = df
+        return df
+
     def panel(self) -> DataFrame:
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        return self._materialized("panel", lambda: sales_panel(self.t.lineitem).repartition(parts, "Store"))
+
+    def panel_from_source(self) -> DataFrame:
+        """The panel adapter as a lazy plan over ``lineitem`` (not materialized)."""
         return sales_panel(self.t.lineitem)
 
     def store(self) -> DataFrame:
