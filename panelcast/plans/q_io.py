@@ -64,10 +64,19 @@ def src_05_multi_file_glob_scan(spark, sf_dir):
 
 @query("src_06_optional_source")
 def src_06_optional_source(spark, sf_dir):
-    """A missing drift history gives an empty table with the declared schema."""
-    from panelcast.schema import DRIFT_HISTORY_SCHEMA
-    missing = Fi.scratch_dir(spark, "src06") + "/no_history"
-    return Fi.read_if_available(spark, missing, DRIFT_HISTORY_SCHEMA)
+    """Performance history read with its declared schema: the written
+    history (rolling metrics of the predictions) plus a missing second
+    source, which contributes an empty frame instead of failing."""
+    from panelcast.operators.metrics import rolling_metrics
+    from panelcast.schema import PERFORMANCE_HISTORY_SCHEMA
+    base = Fi.scratch_dir(spark, "src06")
+    h = rolling_metrics(Inputs(spark, sf_dir).predictions())
+    h.select(*[F.col(f.name).cast(f.dataType) for f in PERFORMANCE_HISTORY_SCHEMA.fields]) \
+        .write.mode("overwrite").parquet(f"{base}/history")
+    present = Fi.read_if_available(spark, f"{base}/history", PERFORMANCE_HISTORY_SCHEMA)
+    missing = Fi.read_if_available(spark, f"{base}/no_history", PERFORMANCE_HISTORY_SCHEMA)
+    from panelcast.plans.registry import rounded
+    return rounded(present.unionByName(missing))
 
 
 @query("src_07_structured_log_scan", """
@@ -213,10 +222,12 @@ def _register_file_oracles() -> None:
         "SELECT Store, Date, StateHoliday, SchoolHoliday FROM raw", extra={"raw": RAW_ROWS_SQL})
     ORACLES["src_04_suffix_dispatched_load"] = with_ctes(
         "SELECT *, 'parquet' AS fmt FROM sales_panel UNION ALL SELECT *, 'csv' AS fmt FROM sales_panel", "sales_panel")
-    ORACLES["src_06_optional_source"] = (
-        "SELECT CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS VARCHAR) AS feature_type, CAST(NULL AS VARCHAR) AS metric_type, "
-        "CAST(NULL AS DOUBLE) AS score, CAST(NULL AS DOUBLE) AS p_value, CAST(NULL AS DOUBLE) AS threshold, "
-        "CAST(NULL AS BOOLEAN) AS drift_detected, CAST(NULL AS BIGINT) AS reference_n, CAST(NULL AS BIGINT) AS current_n, "
-        "CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS TIMESTAMP) AS timestamp WHERE false")
+    ORACLES["src_06_optional_source"] = with_ctes("""
+SELECT ROUND(SQRT(s2 / n), 4) AS rmse, ROUND(sa / n, 4) AS mae, ROUND(s1 / n, 4) AS bias, n AS n_samples,
+       CAST(d - 7 AS TIMESTAMP) AS window_start, CAST(d AS TIMESTAMP) AS window_end FROM (
+  SELECT d, SUM(s2) OVER w AS s2, SUM(sa) OVER w AS sa, SUM(s1) OVER w AS s1, SUM(n) OVER w AS n
+  FROM (SELECT Date AS d, SUM((Sales - prediction) * (Sales - prediction)) AS s2, SUM(ABS(Sales - prediction)) AS sa,
+               SUM(Sales - prediction) AS s1, COUNT(*) AS n FROM naive_predictions GROUP BY Date) x
+  WINDOW w AS (ORDER BY d RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)) y""", "naive_predictions")
     ORACLES["snk_04_state_write_read"] = ORACLES["win_07_tail_n_state"]
 
