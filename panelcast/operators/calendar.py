@@ -94,8 +94,13 @@ def build_known_calendar(source: DataFrame, roles: Roles = Roles(), maximum_dist
     missing = [c for c in cols if c not in source.columns]
     if missing:
         raise ValueError(f"Calendar source is missing columns: {missing}")
+    etype = source.schema[roles.entity].dataType.simpleString()
+    # integral keys are used as they are (keeps an existing partitioning by
+    # the entity); other types are coerced and bad values dropped
+    entity = (F.col(roles.entity).cast("long") if etype in ("bigint", "int", "smallint", "tinyint")
+              else F.col(roles.entity).cast("string").try_cast("double").cast("long"))
     src = source.select(
-        F.col(roles.entity).cast("string").try_cast("double").cast("long").alias(roles.entity),
+        entity.alias(roles.entity),
         F.col(roles.time).cast("date").alias(roles.time),
         "StateHoliday", "SchoolHoliday",
         *([order_col] if order_col else []),
