@@ -56,7 +56,8 @@ class Inputs:
         self.spark = spark
 
     def _materialized(self, name: str, build) -> DataFrame:
-        key = (id(self.spark.sparkContext._jsc), self.t.sf_dir, name)
+        sc = self.spark.sparkContext
+        key = (sc.applicationId, sc.startTime, self.t.sf_dir, name)
         df = _MATERIALIZED.get(key)
         if df is None:
             # The checkpoint records the physical plan's partitioning only when

@@ -136,3 +136,38 @@ def test_exactly_once_batches(spark):
     from panelcast.plans import q_stream
     out = q_stream.str_02_exactly_once_batches(spark, SF_SMALL)
     assert out.count() == out.select("batch_id").distinct().count() > 0
+
+
+def test_stream_ingest_equals_batch_routing(spark):
+    """STR-01 vs PRJ-06 on the same batch files: same accepted / quarantined rows per file."""
+    from panelcast.operators.validate import TRAIN_RULES, route_batches
+    from panelcast.plans import q_stream
+    from panelcast.sources.files import read_batches, scratch_dir
+    from panelcast.streaming import streams as St
+    from pyspark.sql import types as T
+    base = scratch_dir(spark, "twin01")
+    src = q_stream._raw_csv(spark, SF_SMALL, base)
+    q_stream._run(St.ingest_stream(spark, src, f"{base}/good", f"{base}/bad", f"{base}/ck"))
+    sch = T.StructType([*q_stream.SALES_SCHEMA.fields, T.StructField("file", T.StringType()),
+                        T.StructField("epoch", T.IntegerType())])
+    s_good = spark.read.schema(sch).parquet(f"{base}/good").drop("epoch")
+    s_bad = spark.read.schema(sch).parquet(f"{base}/bad").drop("epoch")
+    batch = read_batches(spark, src).drop("file_mtime")
+    b_good, b_bad, _ = route_batches(batch, TRAIN_RULES)
+    assert s_good.count() == b_good.count() and s_bad.count() == b_bad.count()
+    assert s_bad.exceptAll(b_bad.select(*s_bad.columns)).count() == 0
+
+
+def test_stream_scoring_equals_batch_state_path(spark):
+    """STR-07 vs JON-11 (padded) + FUN-08 on the same requests and state."""
+    from panelcast.functions.scalar import business_rule
+    from panelcast.operators.splits import holdout_split
+    from panelcast.operators.state import create_state, inject_state
+    from panelcast.plans import q_stream
+    s = q_stream.str_07_prediction_log_sink(spark, SF_SMALL)
+    p = Inputs(spark, SF_SMALL).panel()
+    train, val = holdout_split(p, R, 14)
+    b = inject_state(val.select("Store", "Date", "Open", "Promo"), create_state(train, R, 28), R, mode="pad")
+    b = b.select("Store", "Date", business_rule(F.col("sales_rolling_mean_7"), "Open").alias("prediction"))
+    got = s.select("Store", "Date", "prediction")
+    assert got.count() == b.count() and got.exceptAll(b).count() == 0
