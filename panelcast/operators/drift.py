@@ -215,7 +215,8 @@ def persistent_drift(history: DataFrame, at, lookback_days: int = 14, windows: i
     a feature persists when it appears in all N with drift each time and
     exactly one row per window (count == N). Fewer than N windows -> not
     triggered. One row: triggered, windows_found, features."""
-    at_c = F.lit(at).cast("timestamp")
+    from pyspark.sql import Column
+    at_c = (at if isinstance(at, Column) else F.lit(at)).cast("timestamp")
     ts = F.col(ts_col).cast("timestamp")
     recent = history.filter((ts > at_c - F.expr(f"INTERVAL {lookback_days} DAYS")) & (ts <= at_c)) \
                     .withColumn("_ts", ts)

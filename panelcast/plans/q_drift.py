@@ -229,8 +229,8 @@ def agg_17_persistent_drift(spark, sf_dir):
     dref = ev.filter(F.date_add(day, 2) <= F.date_add(last_day, 1)).withColumn(
         "run_ts", F.date_add(day, 2).cast("timestamp"))
     hist = numeric_drift(dref, dcur, ["value", "user_id"], group_cols=["run_ts"])
-    # the last run is the end of the last event day (a one-row aggregate of the events)
-    at = ev.agg(F.date_add(F.max(day), 1).cast("timestamp")).first()[0]
+    # the last run is the end of the last event day (a scalar subquery)
+    at = F.date_add(last_day, 1).cast("timestamp")
     return persistent_drift(hist, at, 14, 2, ts_col="run_ts")
 
 
