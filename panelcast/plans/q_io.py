@@ -139,7 +139,8 @@ def snk_02_append_history(spark, sf_dir):
     res = categorical_drift(ref, cur, ["event_type"])
     Sk.append_history(res, out, "2024-01-31 00:00:00")
     Sk.append_history(res, out, "2024-02-01 00:00:00")
-    return spark.read.parquet(out)
+    from panelcast.plans.registry import rounded
+    return rounded(spark.read.parquet(out))
 
 
 @query("snk_03_prediction_log")
@@ -230,4 +231,8 @@ SELECT ROUND(SQRT(s2 / n), 4) AS rmse, ROUND(sa / n, 4) AS mae, ROUND(s1 / n, 4)
                SUM(Sales - prediction) AS s1, COUNT(*) AS n FROM naive_predictions GROUP BY Date) x
   WINDOW w AS (ORDER BY d RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)) y""", "naive_predictions")
     ORACLES["snk_04_state_write_read"] = ORACLES["win_07_tail_n_state"]
+    from panelcast.plans.q_drift import EV, _chi_sql
+    ORACLES["snk_02_append_history"] = with_ctes(
+        "SELECT c.*, t.timestamp FROM chi c, (VALUES (TIMESTAMP '2024-01-31 00:00:00'), "
+        "(TIMESTAMP '2024-02-01 00:00:00')) t(timestamp)", extra={**EV, "chi": _chi_sql(["event_type"])})
 
