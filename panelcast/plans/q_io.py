@@ -231,6 +231,11 @@ SELECT ROUND(SQRT(s2 / n), 4) AS rmse, ROUND(sa / n, 4) AS mae, ROUND(s1 / n, 4)
                SUM(Sales - prediction) AS s1, COUNT(*) AS n FROM naive_predictions GROUP BY Date) x
   WINDOW w AS (ORDER BY d RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)) y""", "naive_predictions")
     ORACLES["snk_04_state_write_read"] = ORACLES["win_07_tail_n_state"]
+    ORACLES["snk_06_manifest_resolve"] = with_ctes(
+        "SELECT COUNT(*) AS rows, MAX(Date) AS max_date FROM sales_panel "
+        "WHERE Date <= (SELECT MAX(Date) FROM sales_panel) - 14", "sales_panel")
+    ORACLES["prj_02_strict_casts"] = ("SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS INT) AS rank "
+                                      "FROM orders")
     from panelcast.plans.q_drift import EV, _chi_sql
     ORACLES["snk_02_append_history"] = with_ctes(
         "SELECT c.*, t.timestamp FROM chi c, (VALUES (TIMESTAMP '2024-01-31 00:00:00'), "
