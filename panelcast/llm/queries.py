@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from panelcast.llm import q08_line_dedup
+from panelcast.llm import q03_bpe, q06_token_files, q07_packing, q08_line_dedup
 
 QUERIES = {
+    "op3_bpe_roundtrip": q03_bpe.op3_bpe_roundtrip,
+    "op6_token_files": q06_token_files.op6_token_files,
+    "op7_packing": q07_packing.op7_packing,
     "op8_line_dedup": q08_line_dedup.op8_line_dedup,
 }
 
