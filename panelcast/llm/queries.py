@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from panelcast.llm import q03_bpe, q06_token_files, q07_packing, q08_line_dedup
+from panelcast.llm import q01_url_filter, q03_bpe, q06_token_files, q07_packing, q08_line_dedup, q10_chat
 
 QUERIES = {
+    "op1_url_filter": q01_url_filter.op1_url_filter,
     "op3_bpe_roundtrip": q03_bpe.op3_bpe_roundtrip,
     "op6_token_files": q06_token_files.op6_token_files,
     "op7_packing": q07_packing.op7_packing,
     "op8_line_dedup": q08_line_dedup.op8_line_dedup,
+    "op10_chat_format": q10_chat.op10_chat_format,
 }
 
 ORACLES = {
+    "op1_url_filter": q01_url_filter.SQL,
     "op8_line_dedup": q08_line_dedup.SQL,
+    "op10_chat_format": q10_chat.SQL,
 }
