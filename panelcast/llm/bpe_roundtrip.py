@@ -1,15 +1,8 @@
-"""BPE encoding and decoding by forced-boundary splitting.
+"""BPE encoding and decoding of whole documents.
 
-A pair of adjacent bytes that occurs inside no vocabulary token can never end
-up in one token, so a word may be cut between the two: every piece is encoded
-on its own and the ids are concatenated. White space is in no token, which
-makes the cuts between chunks; inside a chunk the tokenizer's own pre-tokenizer
-gives the words, and forced pairs cut the words further. Only the last piece of
-a word carries the end-of-word suffix; the others are encoded by the same merges
-without it. Pieces are memoised, so each distinct piece is merged once.
-
-Decoding joins the ids' tokens as the library does for a vocabulary without a
-decoder (by a space); other vocabularies are decoded by the library.
+Encoding is forced-boundary splitting (see ``tokens``). Decoding reads the ids
+back: a vocabulary without a decoder gives its tokens joined by a space, which
+is a gather from one table of token texts; others are decoded by the library.
 
 Defined results: null and empty texts have no ids and decode to an empty text;
 rows are independent, so repeated ids, ties and extra columns change nothing.
@@ -18,188 +11,80 @@ rows are independent, so repeated ids, ties and extra columns change nothing.
 from __future__ import annotations
 
 import hashlib
-import re
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm import tokens
-
-#: The pre-tokenizer's pattern for folded ASCII chunks (fixed by the vocabulary file).
-ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-FIXED_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-
-
-def byte_alphabet() -> list[str]:
-    """Character that stands for each byte in a byte-level vocabulary: printable
-    Latin-1 stands for itself, the others follow from 256 on."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    out, extra = [], 256
-    for b in range(256):
-        out.append(chr(b if b in printable else extra))
-        extra += b not in printable
-    return out
-
-
-def pair_table(token_bytes: list[bytes]) -> np.ndarray:
-    """forced[a, b]: the byte pair (a, b) is inside no token."""
-    inside = np.zeros((256, 256), bool)
-    for t in token_bytes:
-        b = np.frombuffer(t, np.uint8)
-        inside[b[:-1], b[1:]] = True
-    return ~inside
-
-
-class ForcedBoundaryCodec(tokens.Encoder):
-    """Encoder whose chunks are cut at forced boundaries."""
-
-    def __init__(self, path: str):
-        super().__init__(path)
-        import json
-
-        from tokenizers import Tokenizer
-        from tokenizers.models import BPE
-        spec = json.loads(self.tok.to_str())
-        model = spec["model"]
-        self.suffix = model.get("end_of_word_suffix") or ""
-        self.forced_ok = (self.chunked and model["type"] == "BPE" and not model.get("dropout")
-                          and not model.get("continuing_subword_prefix") and not model.get("byte_fallback"))
-        self.ascii_ok = self.folds and FIXED_PATTERN in json.dumps(spec["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
-        self.decoder_free = self.tok.decoder is None
-        alphabet = byte_alphabet()
-        self.chars = str.maketrans({chr(b): c for b, c in enumerate(alphabet)})
-        back = {c: b for b, c in enumerate(alphabet)}
-        special = set(self.added)
-        plain = [t.removesuffix(self.suffix) if self.suffix else t for t in model["vocab"] if t.encode() not in special]
-        self.forced = pair_table([bytes(back[c] for c in t if c in back) for t in plain])
-        merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
-        # The same merges for pieces that end inside a word and at its end.
-        self.inner = Tokenizer(BPE(vocab=model["vocab"], merges=merges))
-        self.final = Tokenizer(BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=self.suffix or None))
-        self.pieces = tokens.Memo(self.encode_pieces)
-        self.token_of = {i: t.encode() for t, i in self.tok.get_vocab(with_added_tokens=True).items()}
-        self.decoded = tokens.Memo(self.decode_chunks)
-
-    def words(self, chunk: bytes) -> list[bytes]:
-        """Words of the pre-tokenizer, as plain bytes."""
-        if self.ascii_ok and chunk.isascii():
-            return ASCII_WORDS.findall(chunk.lower())
-        text = chunk.decode("utf-8", "replace")
-        if self.tok.normalizer is not None:
-            text = self.tok.normalizer.normalize_str(text)
-        if self._back is None:
-            self._back = {ord(c): b for b, c in enumerate(byte_alphabet())}
-        return [bytes(map(self._back.__getitem__, map(ord, w))) for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(text)]
-
-    _back: dict[int, int] | None = None
-
-    def cut(self, word: bytes) -> list[bytes]:
-        """Pieces of a word, tagged with a last byte: 1 at the word's end, else 0."""
-        if len(word) > 1:
-            b = np.frombuffer(word, np.uint8)
-            at = np.flatnonzero(self.forced[b[:-1], b[1:]]) + 1
-            if len(at):
-                ends = [*at.tolist(), len(word)]
-                parts = [word[i:j] for i, j in zip([0, *ends], ends)]
-                return [p + b"\0" for p in parts[:-1]] + [parts[-1] + b"\1"]
-        return [word + b"\1"]
-
-    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
-        out: dict[bytes, bytes] = {}
-        for tag, model in ((0, self.inner), (1, self.final)):
-            own = [p for p in pieces if p[-1] == tag]
-            for i in range(0, len(own), tokens.CALL_CHUNKS):
-                part = own[i:i + tokens.CALL_CHUNKS]
-                e = model.encode([p[:-1].decode("latin-1").translate(self.chars) for p in part],
-                                 is_pretokenized=True, add_special_tokens=False)
-                counts = np.bincount(np.array(e.word_ids, np.int64), minlength=len(part))
-                out.update(zip(part, tokens.split_at(np.array(e.ids, self.dtype).tobytes(), counts,
-                                                     self.dtype.itemsize)))
-        return [out[p] for p in pieces]
-
-    def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
-        if not self.forced_ok:
-            return super().encode_chunks(chunks)
-        # Added tokens are looked for in the raw text: the library takes these chunks.
-        raw = [any(a in c for a in self.added) for c in chunks]
-        cut = [[] if own else [p for w in self.words(c) for p in self.cut(w)] for c, own in zip(chunks, raw)]
-        values, at, out = self.pieces.values([p for parts in cut for p in parts]), 0, []
-        for parts in cut:
-            out.append(b"".join(values[at:at + len(parts)]))
-            at += len(parts)
-        left = [i for i, own in enumerate(raw) if own]
-        for i, ids in zip(left, super().encode_chunks([chunks[i] for i in left])):
-            out[i] = ids
-        return out
-
-    def decode_chunks(self, encoded: list[bytes]) -> list[bytes]:
-        token = self.token_of.__getitem__
-        return [b" ".join(map(token, np.frombuffer(e, self.dtype).tolist())) for e in encoded]
-
-    def digests(self, texts: list[bytes | None]) -> Iterator[tuple[int, str, str]]:
-        """Token count, SHA-256 of the ids as unsigned 32-bit integers, and of the decoded text."""
-        for group in self.slices(texts):
-            values = self.memo.values([c for chunks in group for c in chunks])
-            decoded = self.decoded.values(values) if self.decoder_free else None
-            at = 0
-            for chunks in group:
-                own = slice(at, at := at + len(chunks))
-                ids = np.frombuffer(b"".join(values[own]), self.dtype)
-                if decoded is not None:
-                    text = b" ".join(filter(None, decoded[own]))
-                else:
-                    text = self.tok.decode(ids.tolist(), skip_special_tokens=False).encode()
-                yield (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                       hashlib.sha256(text).hexdigest())
-
-
-_CODECS: dict[str, ForcedBoundaryCodec] = {}
-
-
-def codec(path: str) -> ForcedBoundaryCodec:
-    if path not in _CODECS:
-        _CODECS[path] = ForcedBoundaryCodec(path)
-    return _CODECS[path]
+from panelcast.llm.tokens import encoder, ranges
 
+#: Ids that are decoded at a time.
+DECODE_IDS = 1_000_000
 
-def encode_column(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
-    """(id, n_tokens, ids as array<int>, decoded text) of every document."""
-    def run(batches):
-        import pyarrow as pa
 
-        from panelcast.llm.bpe_roundtrip import codec
-        from panelcast.llm.tokens import as_bytes
-        c = codec(path)
-        for batch in batches:
-            ids = [np.frombuffer(e, c.dtype).astype("int32") for e in c.encode(as_bytes(batch.column(1)))]
-            texts = [c.tok.decode(i.tolist(), skip_special_tokens=False) for i in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(i) for i in ids], pa.int64()),
-                 pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())],
-                ["id", "n_tokens", "ids", "decoded"])
+class Decoder:
+    """Texts of id sequences, as the library's decode(ids, skip_special_tokens=False)."""
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, n_tokens long, ids array<int>, decoded string")
+    def __init__(self, tok):
+        self.tok, self.joined = tok, tok.decoder is None
+        vocab = tok.get_vocab(with_added_tokens=True)
+        size = 1 + max(vocab.values())
+        token = [b""] * size
+        for t, i in vocab.items():
+            token[i] = t.encode() + b" "
+        self.length = np.array(list(map(len, token)), np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.text = np.frombuffer(b"".join(token), np.uint8)
 
+    def decode(self, ids: np.ndarray) -> bytes:
+        if not self.joined:
+            return self.tok.decode(ids.tolist(), skip_special_tokens=False).encode()
+        parts = [self.text[ranges(self.start[own], self.length[own])].tobytes()
+                 for own in (ids[i:i + DECODE_IDS] for i in range(0, len(ids), DECODE_IDS))]
+        return b"".join(parts)[:-1]
 
-def digest_column(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of every document."""
+
+_DECODERS: dict[str, Decoder] = {}
+
+
+def decoder(path: str) -> Decoder:
+    if path not in _DECODERS:
+        _DECODERS[path] = Decoder(encoder(path).tok)
+    return _DECODERS[path]
+
+
+def _per_document(docs: DataFrame, id_col: str, text_col: str, path: str, columns: str, build) -> DataFrame:
+    """(id, *columns): ``build(ids, text)`` gives the Arrow arrays of a batch."""
     def run(batches):
         import pyarrow as pa
 
-        from panelcast.llm.bpe_roundtrip import codec
-        from panelcast.llm.tokens import as_bytes
-        c = codec(path)
+        from panelcast.llm.bpe_roundtrip import decoder
+        from panelcast.llm.tokens import as_bytes, encoder
+        enc, dec = encoder(path), decoder(path)
         for batch in batches:
-            rows = list(c.digests(as_bytes(batch.column(1))))
-            n, a, b = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            rows = [build(ids, dec.decode(ids)) for ids in enc.encode(as_bytes(batch.column(1)))]
+            arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else ((),) * len(names), kinds(pa))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["id", *names])
+
+    names = [c.split(" ")[0] for c in columns.split(", ")]
+
+    def kinds(pa):
+        known = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+        return [known[c.split(" ")[1]] for c in columns.split(", ")]
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, {columns}")
+
+
+def encode_column(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
+    """(id, n_tokens, ids, decoded) of every document."""
+    return _per_document(docs, id_col, text_col, path, "n_tokens long, ids array<int>, decoded string",
+                         lambda ids, text: (len(ids), ids.astype("int32"), text.decode()))
+
+
+def digest_column(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every document: SHA-256 of the
+    ids as little-endian unsigned 32-bit integers and of the decoded text."""
+    return _per_document(docs, id_col, text_col, path, "n_tokens long, ids_sha256 string, decoded_sha256 string",
+                         lambda ids, text: (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
+                                            hashlib.sha256(text).hexdigest()))

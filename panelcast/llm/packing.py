@@ -38,7 +38,7 @@ def encode_documents(docs: DataFrame, id_col: str, text_col: str, path: str, end
         part, at, enc = TaskContext.get().partitionId(), 0, encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
-            ids = [e + end for e in enc.encode(as_bytes(batch.column(1)))]
+            ids = [e.tobytes() + end for e in enc.encode(as_bytes(batch.column(1)))]
             n = np.array([len(e) // enc.dtype.itemsize for e in ids], np.int64)
             starts = at + np.cumsum(n) - n
             at += int(n.sum())

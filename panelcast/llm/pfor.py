@@ -137,7 +137,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: s
         from panelcast.llm.pfor import SEGMENT_IDS, write_segment
         from panelcast.llm.tokens import as_bytes, encoder
         part, enc, at = TaskContext.get().partitionId(), encoder(path), 0
-        end = np.array([end_id], enc.dtype).tobytes()
+        end = np.array([end_id], enc.dtype)
 
         def segment(keys, held):
             size = sum(map(len, held))
@@ -150,7 +150,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: s
         for batch in batches:
             kind = batch.column(0).type
             for key, e in zip(batch.column(0).to_pylist(), enc.encode(as_bytes(batch.column(1)))):
-                ids = np.frombuffer(e + end, enc.dtype)
+                ids = np.concatenate([e, end])
                 if held and size + len(ids) > SEGMENT_IDS:
                     yield segment(keys, held)
                     at, keys, held, size = at + size, [], [], 0
