@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from panelcast.llm import q01_url_filter, q03_bpe, q06_token_files, q07_packing, q08_line_dedup, q10_chat
+from panelcast.llm import (q01_url_filter, q03_bpe, q06_token_files, q07_packing, q08_line_dedup, q09_quality,
+                            q10_chat)
 
 QUERIES = {
     "op1_url_filter": q01_url_filter.op1_url_filter,
@@ -10,6 +11,7 @@ QUERIES = {
     "op6_token_files": q06_token_files.op6_token_files,
     "op7_packing": q07_packing.op7_packing,
     "op8_line_dedup": q08_line_dedup.op8_line_dedup,
+    "op9_quality_vote": q09_quality.op9_quality_vote,
     "op10_chat_format": q10_chat.op10_chat_format,
 }
 
