@@ -59,9 +59,9 @@ def _per_document(docs: DataFrame, id_col: str, text_col: str, path: str, column
         import pyarrow as pa
 
         from panelcast.llm.bpe_roundtrip import decoder
-        from panelcast.llm.tokens import as_bytes, encoder
+        from panelcast.llm.tokens import as_bytes, encoder, small_batches
         enc, dec = encoder(path), decoder(path)
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = [build(ids, dec.decode(ids)) for ids in enc.encode(as_bytes(batch.column(1)))]
             arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else ((),) * len(names), kinds(pa))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["id", *names])

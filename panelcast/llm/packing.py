@@ -34,10 +34,10 @@ def encode_documents(docs: DataFrame, id_col: str, text_col: str, path: str, end
         import pyarrow as pa
         from pyspark import TaskContext
 
-        from panelcast.llm.tokens import as_bytes, encoder
+        from panelcast.llm.tokens import as_bytes, encoder, small_batches
         part, at, enc = TaskContext.get().partitionId(), 0, encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = [e.tobytes() + end for e in enc.encode(as_bytes(batch.column(1)))]
             n = np.array([len(e) // enc.dtype.itemsize for e in ids], np.int64)
             starts = at + np.cumsum(n) - n

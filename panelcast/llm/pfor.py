@@ -135,7 +135,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: s
         from pyspark import TaskContext
 
         from panelcast.llm.pfor import SEGMENT_IDS, write_segment
-        from panelcast.llm.tokens import as_bytes, encoder
+        from panelcast.llm.tokens import as_bytes, encoder, small_batches
         part, enc, at = TaskContext.get().partitionId(), encoder(path), 0
         end = np.array([end_id], enc.dtype)
 
@@ -147,7 +147,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: s
                 ["part", "part_start", "doc_ids", "n_ids", "segment"])
 
         keys, held, size, kind = [], [], 0, None
-        for batch in batches:
+        for batch in small_batches(batches):
             kind = batch.column(0).type
             for key, e in zip(batch.column(0).to_pylist(), enc.encode(as_bytes(batch.column(1)))):
                 ids = np.concatenate([e, end])

@@ -131,8 +131,8 @@ def count_column(docs: DataFrame, id_col: str, text_col: str, terms: int) -> Dat
         import pyarrow as pa
 
         from panelcast.llm.quality_vote import term_counts
-        from panelcast.llm.tokens import as_bytes
-        for batch in batches:
+        from panelcast.llm.tokens import as_bytes, small_batches
+        for batch in small_batches(batches):
             rows = [term_counts(t or b"", terms).astype(np.float32).tobytes() for t in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["id", "counts"])
 
@@ -186,9 +186,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         import pyarrow as pa
 
         from panelcast.llm.quality_vote import term_counts
-        from panelcast.llm.tokens import as_bytes
+        from panelcast.llm.tokens import as_bytes, small_batches
         m = shared.value
-        for batch in batches:
+        for batch in small_batches(batches):
             texts, out = as_bytes(batch.column(0)), []
             for i in range(0, len(texts), 256):
                 out.append(m.score(np.stack([term_counts(t or b"", m.terms) for t in texts[i:i + 256]])))

@@ -30,7 +30,7 @@ MEMO_CHUNK_BYTES = 256
 #: Pieces in one call of the library.
 CALL_PIECES = 5000
 #: Text bytes that are handled at a time; longer texts are cut at white space.
-SLICE_BYTES = 2_500_000
+SLICE_BYTES = 1_500_000
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 SPACE_BYTES = b" \t\n\x0b\f\r"
 #: The pattern of the vocabulary file (fixed), and what it means for folded ASCII;
@@ -140,7 +140,7 @@ class Encoder:
         # The same merges for pieces that end inside a word and at its end.
         self.inner = Tokenizer(BPE(vocab=model["vocab"], merges=merges))
         self.final = Tokenizer(BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=suffix or None))
-        self.chunk_memo, self.piece_memo = Memo(self.encode_chunks), Memo(self.encode_pieces)
+        self.chunk_memo = Memo(self.encode_chunks)
         self.space = np.zeros(256, bool)
         self.space[list(SPACE_BYTES)] = True
         # Kind of a byte: 0 not ASCII or apostrophe, 1 letter, 2 digit, 3 other; words end
@@ -168,19 +168,22 @@ class Encoder:
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Pieces tagged with a last byte, 1 at a word's end, else 0: thousands in one
         call, as word_ids names the piece of each id."""
-        out: dict[bytes, bytes] = {}
+        out = [b""] * len(pieces)
         for tag, model in ((0, self.inner), (1, self.final)):
-            own = [p for p in pieces if p[-1] == tag]
-            for i in range(0, len(own), CALL_PIECES):
-                part = own[i:i + CALL_PIECES]
-                e = model.encode([p[:-1].decode("latin-1").translate(self.chars) for p in part],
+            own = [i for i, p in enumerate(pieces) if p[-1] == tag]
+            for k in range(0, len(own), CALL_PIECES):
+                part = own[k:k + CALL_PIECES]
+                e = model.encode([pieces[i][:-1].decode("latin-1").translate(self.chars) for i in part],
                                  is_pretokenized=True, add_special_tokens=False)
                 counts = np.bincount(np.array(e.word_ids, np.int64), minlength=len(part))
-                out.update(zip(part, split_at(np.array(e.ids, self.dtype).tobytes(), counts, self.dtype.itemsize)))
-        return [out[p] for p in pieces]
+                for i, ids in zip(part, split_at(np.array(e.ids, self.dtype).tobytes(), counts, self.dtype.itemsize)):
+                    out[i] = ids
+        return out
 
     def ascii_words(self, chunks: list[bytes]) -> tuple[list[bytes], np.ndarray]:
         """(words, words per chunk) of chunks that are all ASCII."""
+        if all(map(bytes.isalpha, chunks)):
+            return chunks, np.ones(len(chunks), np.int64)
         found = ASCII_WORDS.findall(b"\n".join(chunks).lower() + b"\n")
         ends = np.fromiter((w == b"\n" for w in found), bool, len(found)).nonzero()[0]
         return [w for w in found if w != b"\n"], np.diff(ends, prepend=-1) - 1
@@ -226,7 +229,7 @@ class Encoder:
         if not words:
             return [b""] * len(per_chunk)
         pieces, counts = self.cut(words)
-        values = self.piece_memo.values(pieces)
+        values = self.encode_pieces(pieces)
         sizes = np.concatenate([[0], np.cumsum(list(map(len, values)))])
         pieces_end = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(per_chunk)])]
         ends = sizes[pieces_end].tolist()
@@ -340,6 +343,13 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def small_batches(batches: Iterator, rows: int = 1000) -> Iterator:
+    """The record batches in parts of so many rows, to bound what a task holds."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def as_bytes(column) -> list[bytes | None]:
     """Texts of an Arrow string column as UTF-8 bytes."""
     import pyarrow as pa
