@@ -130,8 +130,13 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
                          F.coalesce("_n_dropped", F.lit(0)).cast("long").alias("_n_dropped"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
                 min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """Documents without the repeated lines, same columns and rows."""
+    """Documents without the repeated lines, same columns and rows; ``length_col``, if
+    named, is set to the code points of the new text where lines were dropped."""
     maps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs)
-    return apply_bitmaps(docs, maps, id_col, text_col).select(*docs.columns)
+    out = apply_bitmaps(docs, maps, id_col, text_col)
+    if length_col in docs.columns:
+        size = F.char_length(text_col).cast(docs.schema[length_col].dataType)
+        out = out.withColumn(length_col, F.when(F.col("_n_dropped") > 0, size).otherwise(F.col(length_col)))
+    return out.select(*docs.columns)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from panelcast.llm import (q01_url_filter, q02_ngram_join, q03_bpe, q06_token_files, q07_packing, q08_line_dedup, q09_quality,
-                            q10_chat)
+from panelcast.llm import (q01_url_filter, q02_ngram_join, q03_bpe, q04_vector_dedup, q05_ann, q06_token_files,
+                            q07_packing, q08_line_dedup, q09_quality, q10_chat)
 
 QUERIES = {
     "op1_url_filter": q01_url_filter.op1_url_filter,
     "op2_ngram_join": q02_ngram_join.op2_ngram_join,
     "op3_bpe_roundtrip": q03_bpe.op3_bpe_roundtrip,
+    "op4_nn_descent": q04_vector_dedup.op4_nn_descent,
+    "op5_multi_index": q05_ann.op5_multi_index,
     "op6_token_files": q06_token_files.op6_token_files,
     "op7_packing": q07_packing.op7_packing,
     "op8_line_dedup": q08_line_dedup.op8_line_dedup,
