@@ -157,11 +157,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         own = known.where(F.col("label") == label).orderBy(order, "id").limit(per_class)
         chosen = own if chosen is None else chosen.unionByName(own)
     # At most 2 * per_class ids.
-    rows = docs.join(F.broadcast(chosen.withColumnRenamed("id", "_id")), F.col(id_col) == F.col("_id")).select(
-        F.struct(F.col("_id"), "label").alias("key"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = texts.join(F.broadcast(chosen), "id").select(F.struct("id", "label").alias("key"), "text")
     found = {}
     for r in count_column(rows, "key", "text", terms).collect():
-        found[(r["id"]["_id"], zlib.crc32(r["counts"]))] = (r["id"]["label"], np.frombuffer(r["counts"], np.float32))
+        found[(r["id"]["id"], zlib.crc32(r["counts"]))] = (r["id"]["label"], np.frombuffer(r["counts"], np.float32))
     fitted = [found[k] for k in sorted(found)]
     y = np.array([f[0] for f in fitted], np.float64)
     counts = np.stack([f[1] for f in fitted]).astype(np.float64)

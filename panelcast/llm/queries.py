@@ -20,6 +20,8 @@ QUERIES = {
 
 ORACLES = {
     "op1_url_filter": q01_url_filter.SQL,
+    "op2_ngram_join": q02_ngram_join.SQL,
+    "op4_nn_descent": q04_vector_dedup.SQL,
     "op8_line_dedup": q08_line_dedup.SQL,
     "op10_chat_format": q10_chat.SQL,
 }
