@@ -132,3 +132,13 @@ def config_hash(config: dict) -> str:
     import hashlib
     import json
     return hashlib.sha256(json.dumps(config, sort_keys=True).encode("utf-8")).hexdigest()
+
+
+def integral_key(df, col: str) -> Column:
+    """An entity key as a long; values that are none become NULL. Integral columns stay
+    as they are, and texts are read as integers first: only what is no integer text
+    goes through double (which cannot hold every long)."""
+    if df.schema[col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        return F.col(col).cast("long")
+    text = F.col(col).cast("string")
+    return F.coalesce(text.try_cast("long"), text.try_cast("double").try_cast("long"))

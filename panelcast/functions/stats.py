@@ -1,8 +1,7 @@
 """Tail probabilities as column expressions (JVM-side, no Python UDF).
 
-KS: asymptotic Kolmogorov distribution. Chi-square: closed forms of the
-regularised upper incomplete gamma for integer degrees of freedom, with a
-rational erfc approximation (fractional error < 1.2e-7) for odd degrees.
+KS: asymptotic Kolmogorov distribution. Chi-square: regularised upper
+incomplete gamma function, log-scaled.
 """
 
 from __future__ import annotations
@@ -46,42 +45,43 @@ def ks_pvalue_sql(d: str, n: str, m: str) -> str:
     return f"LEAST(GREATEST({p}, 0.0), 1.0)"
 
 
-def erfc(z: Column) -> Column:
-    """Complementary error function for z >= 0 (rational approximation)."""
-    t = 1.0 / (1.0 + 0.5 * F.abs(z))
-    coeffs = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807,
-              -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-    poly = F.lit(coeffs[-1])
-    for c in reversed(coeffs[:-1]):
-        poly = F.lit(c) + t * poly
-    ans = t * F.exp(-z * z + poly)
-    return F.when(z >= 0, ans).otherwise(2.0 - ans)
+def ln_gamma(a: Column) -> Column:
+    """Logarithm of the gamma function for a > 0: Stirling's series at a + 16, shifted down."""
+    z = a + 16.0
+    shift = F.ln(a)
+    for i in range(1, 16):
+        shift = shift + F.ln(a + float(i))
+    inv = 1.0 / z
+    tail = inv / 12.0 - inv * inv * inv / 360.0 + F.pow(inv, 5) / 1260.0 - F.pow(inv, 7) / 1680.0
+    return (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + tail - shift
 
 
 def chi2_sf(x: Column, dof: Column) -> Column:
-    """Upper tail of the chi-square distribution for integer dof >= 1.
+    """Upper tail of the chi-square distribution for dof > 0: the regularised incomplete
+    gamma function Q(dof / 2, x / 2).
 
-    even k: e^{-x/2} sum_{i<k/2} (x/2)^i / i!
-    odd k:  erfc(sqrt(x/2)) + e^{-x/2} sum_{i=1}^{(k-1)/2} (x/2)^{i-1/2} / Gamma(i+1/2)
-    Terms are built by recurrence inside ``aggregate`` (no factorials).
+    Below dof / 2 + 1 by the power series of P, above by Lentz's continued fraction of Q.
+    The prefactor is applied as a logarithm, so nothing overflows; the number of terms
+    grows with the square root of dof.
     """
-    h = x / 2.0
-    k = dof.cast("int")
-    even_terms = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(k / 2 - 1, F.lit(0)).cast("int")),
-        F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")),
-        lambda acc, i: F.struct((acc["t"] * h / i).alias("t"), (acc["s"] + acc["t"] * h / i).alias("s")),
+    a, h = dof.cast("double") / 2.0, x.cast("double") / 2.0
+    steps = F.sequence(F.lit(1), (F.lit(60) + F.ceil(10 * F.sqrt(a))).cast("int"))
+    front = a * F.ln(h) - h - ln_gamma(a)
+    series = F.aggregate(
+        steps, F.struct((1.0 / a).alias("t"), (1.0 / a).alias("s")),
+        lambda acc, i: F.struct((acc["t"] * h / (a + i)).alias("t"), (acc["s"] + acc["t"] * h / (a + i)).alias("s")),
         lambda acc: acc["s"])
-    even_terms = F.when(k >= 4, even_terms).otherwise(F.lit(1.0))
-    # odd: first term (x/2)^{1/2} / Gamma(3/2), then t_i = t_{i-1} * h / (i - 1/2)
-    first = F.sqrt(h) / (math.sqrt(math.pi) / 2.0)
-    odd_terms = F.aggregate(
-        F.sequence(F.lit(2), F.greatest((k - 1) / 2, F.lit(1)).cast("int")),
-        F.struct(first.alias("t"), first.alias("s")),
-        lambda acc, i: F.struct((acc["t"] * h / (i - 0.5)).alias("t"), (acc["s"] + acc["t"] * h / (i - 0.5)).alias("s")),
-        lambda acc: acc["s"])
-    odd_terms = F.when(k >= 5, odd_terms).when(k == 3, first).otherwise(F.lit(0.0))
-    even = F.exp(-h) * even_terms
-    odd = erfc(F.sqrt(h)) + F.exp(-h) * odd_terms
-    p = F.when(x <= 0, F.lit(1.0)).when(k % 2 == 0, even).otherwise(odd)
-    return F.when(k < 1, F.lit(None).cast("double")).otherwise(F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
+    b0 = h + 1.0 - a
+
+    def lentz(acc: Column, i: Column) -> Column:
+        an, b = -i * (i - a), acc["b"] + 2.0
+        d = 1.0 / (an * acc["d"] + b)
+        c = b + an / acc["c"]
+        return F.struct(b.alias("b"), c.alias("c"), d.alias("d"), (acc["q"] * d * c).alias("q"))
+
+    fraction = F.aggregate(
+        steps, F.struct(b0.alias("b"), F.lit(1e300).alias("c"), (1.0 / b0).alias("d"), (1.0 / b0).alias("q")),
+        lentz, lambda acc: acc["q"])
+    p = (F.when(h <= 0, F.lit(1.0)).when(h < a + 1.0, 1.0 - F.exp(front + F.ln(series)))
+         .otherwise(F.exp(front + F.ln(fraction))))
+    return F.when(a > 0, F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))

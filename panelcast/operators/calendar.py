@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.scalar import is_one, is_state_holiday
+from panelcast.functions.scalar import integral_key, is_one, is_state_holiday
 from panelcast.operators.dedup import dedup_last
 from panelcast.schema import CALENDAR_FEATURE_COLUMNS, Roles
 
@@ -94,11 +94,8 @@ def build_known_calendar(source: DataFrame, roles: Roles = Roles(), maximum_dist
     missing = [c for c in cols if c not in source.columns]
     if missing:
         raise ValueError(f"Calendar source is missing columns: {missing}")
-    etype = source.schema[roles.entity].dataType.simpleString()
-    # integral keys are used as they are (keeps an existing partitioning by
-    # the entity); other types are coerced and bad values dropped
-    entity = (F.col(roles.entity).cast("long") if etype in ("bigint", "int", "smallint", "tinyint")
-              else F.col(roles.entity).cast("string").try_cast("double").cast("long"))
+    # integral keys are used as they are (keeps an existing partitioning by the entity)
+    entity = integral_key(source, roles.entity)
     src = source.select(
         entity.alias(roles.entity),
         F.col(roles.time).cast("date").alias(roles.time),

@@ -105,16 +105,23 @@ def ks_statistic(long: DataFrame, keys: Sequence[str] = ("feature",), slices: in
         F.col("n_ref").cast("long").alias("reference_n"), F.col("n_cur").cast("long").alias("current_n"))
 
 
+def _keyed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``_key``: the group and feature as one text that is never NULL, so that NULL
+    groups aggregate and join like any other."""
+    parts = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in cols]
+    return df.withColumn("_key", F.concat_ws("\u0001", *parts))
+
+
 def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
                   group_cols: Sequence[str] = (), min_samples: int = MIN_SAMPLES,
                   p_threshold: float = P_VALUE_THRESHOLD, stat_threshold: float = STAT_THRESHOLD,
                   current_only_floor: bool = False) -> DataFrame:
     """AGG-13: KS per feature (and group); below ``min_samples`` ->
     insufficient; drift when p < 0.01 and D > 0.10."""
-    long = long_samples(reference, current, features, group_cols, numeric=True)
+    long = _keyed(long_samples(reference, current, features, group_cols, numeric=True), [*group_cols, "feature"])
     base = _feature_frame(reference.sparkSession, features, group_cols, long)
-    ks = ks_statistic(long, [*group_cols, "feature"])
-    j = base.join(ks, [*group_cols, "feature"], "left").fillna(0, ["reference_n", "current_n"])
+    ks = ks_statistic(long, ["_key"])
+    j = base.join(ks, "_key", "left").fillna(0, ["reference_n", "current_n"])
     short = (F.col("current_n") < min_samples) if current_only_floor else \
         ((F.col("reference_n") < min_samples) | (F.col("current_n") < min_samples))
     p = ks_pvalue(F.col("score"), F.col("reference_n"), F.col("current_n"))
@@ -130,8 +137,8 @@ def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[s
 
 def _feature_frame(spark, features, group_cols, long: DataFrame) -> DataFrame:
     if group_cols:
-        return long.select(*group_cols, "feature").distinct()
-    return spark.createDataFrame([(f,) for f in features], "feature string")
+        return long.select(*group_cols, "feature", "_key").distinct()
+    return _keyed(spark.createDataFrame([(f,) for f in features], "feature string"), ["feature"])
 
 
 def categorical_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
@@ -140,8 +147,8 @@ def categorical_drift(reference: DataFrame, current: DataFrame, features: Sequen
     """AGG-15: chi-square of current counts against reference shares scaled
     to the current total (expected floored at 1e-9), over the union of
     categories (JON-14, absent = 0); dof = categories - 1."""
-    long = long_samples(reference, current, features, group_cols, numeric=False)
-    keys = [*group_cols, "feature"]
+    long = _keyed(long_samples(reference, current, features, group_cols, numeric=False), [*group_cols, "feature"])
+    keys = ["_key"]
     counts = long.groupBy(*keys, "value").agg(
         F.sum(1 - F.col("side")).alias("c_ref"), F.sum("side").alias("c_cur"))
     # Sample sizes per feature: a small aggregate (one row per feature and
@@ -237,14 +244,14 @@ def persistent_drift(history: DataFrame, at, lookback_days: int = 14, windows: i
 
 def persistent_degradation(history: DataFrame, windows: int = 2, rmse_limit: float = 1375.0,
                            mae_limit: float = 990.0, bias_limit: float = 900.0,
-                           end_col: str = "window_end", order_col: str | None = None,
+                           end_col: str = "window_end", *, order_col: str,
                            group_by: Sequence[str] = ()) -> DataFrame:
-    """AGG-18: the last N distinct window ends (keep the last row per end);
-    bad = (rmse > lim and mae > lim) or |bias| > lim; triggered when N
-    windows exist and all are bad."""
+    """AGG-18: the last N distinct window ends (the last row per end by
+    ``order_col``, which the caller names); bad = (rmse > lim and mae > lim) or
+    |bias| > lim; triggered when N windows exist and all are bad."""
     from panelcast.operators.dedup import dedup_last
     keys = list(group_by)
-    h = dedup_last(history, [*keys, end_col], order_col or F.lit(0))
+    h = dedup_last(history, [*keys, end_col], order_col)
     # Last N window ends per key: a rank filter (Spark applies it as a
     # per-partition group limit before the shuffle).
     rk = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(end_col).desc()))

@@ -1,9 +1,9 @@
 """Join operators: dimension joins, checked joins, alignment, anti joins.
 
 Strategy is left to Catalyst and AQE: a side is broadcast only when its
-size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (or, with
-``broadcast_max_rows``, after a bounded row count), otherwise the join is a
-shuffle join on the keys; AQE re-plans at runtime and splits skewed keys.
+size estimate is under ``spark.sql.autoBroadcastJoinThreshold``, otherwise
+the join is a shuffle join on the keys; AQE re-plans at runtime and splits
+skewed keys.
 """
 
 from __future__ import annotations
@@ -13,25 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.functions.scalar import integral_key
 from panelcast.operators.dedup import dedup_last
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: counts at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    if max_rows is not None and fits_broadcast(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, keys: str | Sequence[str], how: str = "left",
-                   broadcast_max_rows: int | None = None) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, keys: str | Sequence[str], how: str = "left") -> DataFrame:
     """JON-01: fact x dimension left join on the entity key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return fact.join(maybe_broadcast(dim, broadcast_max_rows), keys, how)
+    return fact.join(dim, keys, how)
 
 
 def join_dimension_required(fact: DataFrame, dim: DataFrame, keys: str | Sequence[str],
@@ -46,7 +35,7 @@ def join_dimension_required(fact: DataFrame, dim: DataFrame, keys: str | Sequenc
 
 def coerce_keys(df: DataFrame, entity: str = "Store", time: str = "Date") -> DataFrame:
     """Keys coerced (bad values -> NULL) and NULL keys dropped."""
-    return (df.withColumn(entity, F.col(entity).cast("string").try_cast("double").cast("long"))
+    return (df.withColumn(entity, integral_key(df, entity))
               .withColumn(time, F.col(time).cast("date"))
               .dropna(subset=[entity, time]))
 

@@ -109,9 +109,8 @@ def slo_breaches(events: DataFrame, path: str = "/predict", window_minutes: int
     p95 of one path; a rule fires when its condition held at every minute of
     the last ``hold_minutes`` (the ``for: 5m`` clause).
 
-    Per-minute partial counts (one aggregate), a minute grid (bounded by
-    the time span), then RANGE frames over minutes: no 10x row expansion of
-    sliding windows.
+    Per-minute partial counts (one aggregate) are added to the minutes whose
+    window holds them: the expansion is over minutes, not over requests.
     """
     ev = events.filter(F.col("path") == path).withColumn(
         "minute", F.floor(F.unix_timestamp("ts") / 60).cast("long"))
@@ -120,12 +119,17 @@ def slo_breaches(events: DataFrame, path: str = "/predict", window_minutes: int
     per = ev.groupBy("minute").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("status_code") >= 500).alias("e5"),
         *[F.count_if(b <= F.lit(x)).alias(f"b{i}") for i, x in enumerate(bound_list)])
-    span = per.agg(F.min("minute").alias("lo"), F.max("minute").alias("hi"))
-    grid = span.select(F.explode(F.sequence("lo", "hi")).alias("minute"))
-    g = grid.join(per, "minute", "left").fillna(0)
-    w = Window.orderBy("minute").rangeBetween(-(window_minutes - 1), 0)
+    # The minutes of the span, day by day; every minute's counts go to the windows that
+    # contain it, so no window or array spans the whole time.
+    span = per.agg(F.floor(F.min("minute") / 1440).alias("d0"), F.floor(F.max("minute") / 1440).alias("d1"),
+                   F.min("minute").alias("lo"), F.max("minute").alias("hi"))
+    days = span.select("lo", "hi", F.explode(F.sequence("d0", "d1")).alias("day"))
+    grid = days.select("lo", "hi", F.explode(F.sequence(F.col("day") * 1440, F.col("day") * 1440 + 1439)).alias("minute"))
+    grid = grid.where(F.col("minute").between(F.col("lo"), F.col("hi"))).select("minute", "lo")
     cols = ["n", "e5", *[f"b{i}" for i in range(len(bound_list))]]
-    roll = g.select("minute", *[F.sum(c).over(w).alias(c) for c in cols])
+    into = per.withColumn("minute", F.explode(F.sequence(F.col("minute"), F.col("minute") + window_minutes - 1)))
+    sums = into.groupBy("minute").agg(*[F.sum(c).alias(c) for c in cols])
+    roll = grid.join(sums, "minute", "left").fillna(0, cols)
     ratio = F.col("e5") / F.greatest(F.col("n"), F.lit(1))
     # p95 over the cumulative buckets: the first bucket whose count reaches the rank
     rank = F.col("n") * 0.95
@@ -144,23 +148,38 @@ def slo_breaches(events: DataFrame, path: str = "/predict", window_minutes: int
         "error_condition": (ratio > error_ratio) & (F.col("n") >= min_requests),
         "latency_condition": F.coalesce(F.when(F.col("n") > 0, p95) > p95_seconds, F.lit(False)) & (F.col("n") >= min_requests),
     })
-    hold = Window.orderBy("minute").rangeBetween(-hold_minutes, 0)
-    out = roll.withColumns({
-        "error_firing": F.min(F.col("error_condition").cast("int")).over(hold) == 1,
-        "latency_firing": F.min(F.col("latency_condition").cast("int")).over(hold) == 1,
+    # A rule fires when its condition held in all minutes of the hold time (as far as the span goes).
+    held = (roll.where("error_condition OR latency_condition")
+            .select(F.explode(F.sequence(F.col("minute"), F.col("minute") + hold_minutes)).alias("minute"),
+                    F.col("error_condition").cast("int").alias("e"), F.col("latency_condition").cast("int").alias("l"))
+            .groupBy("minute").agg(F.sum("e").alias("e_held"), F.sum("l").alias("l_held")))
+    need = F.least(F.lit(hold_minutes + 1), F.col("minute") - F.col("lo") + 1)
+    out = roll.join(held, "minute", "left").withColumns({
+        "error_firing": F.coalesce("e_held", F.lit(0)) == need,
+        "latency_firing": F.coalesce("l_held", F.lit(0)) == need,
     })
     return out.select(F.timestamp_seconds(F.col("minute") * 60).alias("minute"), F.col("n").alias("requests"),
                       F.col("e5").alias("server_errors"), "error_ratio", "p95_seconds", "error_condition",
                       "latency_condition", "error_firing", "latency_firing")
 
 
+# Texts of the alert message.
+DEFAULT_SEVERITY = "warning"
+UNNAMED_ALERT, UNKNOWN_SERVICE, NO_SUMMARY = "UnnamedAlert", "unknown", "No summary provided."
+
+
 def group_alerts(alerts: DataFrame, group_col: str = "group", status: str = "firing") -> DataFrame:
-    """AGG-26: per alert group: max severity (critical > warning > info),
-    title, message lines (sorted by alert name), alert count."""
-    rank = (F.when(F.lower("severity") == "critical", 2).when(F.lower("severity") == "warning", 1).otherwise(0))
-    line = F.concat(F.lit("- "), F.coalesce("alertname", F.lit("UnnamedAlert")), F.lit(" | service="),
-                    F.coalesce("service", F.lit("unknown")), F.lit(" | "),
-                    F.coalesce("summary", F.lit("No summary provided.")))
+    """AGG-26: per alert group: max severity (critical > warning > info; a missing
+    one is a warning), title, message lines (sorted by alert name, a description on
+    its own line below), alert count. A group is one notification, so its lines meet
+    in one row: group by a key with a bounded number of alerts."""
+    severity = F.lower(F.coalesce("severity", F.lit(DEFAULT_SEVERITY)))
+    rank = F.when(severity == "critical", 2).when(severity == "warning", 1).otherwise(0)
+    line = F.concat(F.lit("- "), F.coalesce("alertname", F.lit(UNNAMED_ALERT)), F.lit(" | service="),
+                    F.coalesce("service", F.lit(UNKNOWN_SERVICE)), F.lit(" | "),
+                    F.coalesce("summary", F.lit(NO_SUMMARY)))
+    if "description" in alerts.columns:
+        line = F.concat(line, F.when(F.col("description") != "", F.concat(F.lit("\n  "), "description")).otherwise(""))
     g = alerts.groupBy(group_col).agg(
         F.max(rank).alias("_rk"), F.count(F.lit(1)).alias("alert_count"),
         F.array_sort(F.collect_list(F.struct(F.col("alertname"), line.alias("l")))).alias("_lines"))

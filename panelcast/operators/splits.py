@@ -62,17 +62,19 @@ def walk_forward(df: DataFrame, roles: Roles = Roles(), folds: int = 4, days: in
     """MLD-03 applied: rows tagged with (fold, role) where role is train for
     dates before the fold's block and validation inside the block.
 
-    A fact row joins the (small, at most folds*days rows) fold table once
-    per fold: equi-join on the validation date for validation rows, and a
-    range condition against the block start for training rows; the fold
-    table is broadcast (its size is bounded by folds*days).
+    The blocks (one entry per fold) are a scalar subquery: each row is tagged
+    with the folds it belongs to without a join.
     """
     ft = fold_table(df, roles, folds, days)
     blocks = ft.groupBy("fold").agg(F.min("train_end_exclusive").alias("block_start"),
                                     F.max("validation_date").alias("block_end"))
+    listed = blocks.agg(F.array_sort(F.collect_list(F.struct("fold", "block_start", "block_end"))).alias("b")).scalar()
     d = F.col(roles.time).cast("date")
-    tagged = df.join(F.broadcast(blocks), d <= F.col("block_end"))
-    return tagged.withColumn("role", F.when(d < F.col("block_start"), "train").otherwise("validation"))
+    tagged = df.withColumn("_blocks", listed).withColumn("_d", d)
+    tagged = tagged.select(*df.columns, "_d", F.explode(F.filter("_blocks", lambda b: F.col("_d") <= b["block_end"])).alias("_b"))
+    return tagged.select(*df.columns, F.col("_b.fold").alias("fold"), F.col("_b.block_start").alias("block_start"),
+                         F.col("_b.block_end").alias("block_end"),
+                         F.when(F.col("_d") < F.col("_b.block_start"), "train").otherwise("validation").alias("role"))
 
 
 # Recency tiers (age upper bounds in days) and the code

@@ -106,7 +106,7 @@ def store_signals(i: Inputs, minimum_rows: int = 20):
                       "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("last_retrained_at_utc"),
         F.date_format(F.min("Date").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("release_created_at_utc"))
     hist = M.rolling_metrics(i.predictions(), group_by=["Store"])
-    deg = persistent_degradation(hist, 2, group_by=["Store"]).select(
+    deg = persistent_degradation(hist, 2, order_col="window_end", group_by=["Store"]).select(
         "Store", F.col("triggered").alias("performance_degraded"),
         F.date_format("performance_window_end", "yyyy-MM-dd").alias("performance_window_end"))
     sig = per.join(lastpromo, "Store", "left").join(deg, "Store", "left")

@@ -144,8 +144,9 @@ def _chi_sql(features, group: str | None = None) -> str:
         for f in features)
     h = "(score / 2.0)"
     # Independent tail: sums over generate_series with lgamma instead of a recurrence.
-    even = (f"EXP(-{h}) * (SELECT SUM(EXP(i * LN({h}) - lgamma(i + 1))) FROM generate_series(0, CAST(dof / 2 - 1 AS BIGINT)) g(i))")
-    odd = (f"{_erfc_sql(f'SQRT({h})')} + EXP(-{h}) * COALESCE((SELECT SUM(EXP((i - 0.5) * LN({h}) - lgamma(i + 0.5))) "
+    # -h stays inside the exponent: no term overflows.
+    even = (f"(SELECT SUM(EXP(i * LN({h}) - lgamma(i + 1) - {h})) FROM generate_series(0, CAST(dof / 2 - 1 AS BIGINT)) g(i))")
+    odd = (f"{_erfc_sql(f'SQRT({h})')} + COALESCE((SELECT SUM(EXP((i - 0.5) * LN({h}) - lgamma(i + 0.5) - {h})) "
            f"FROM generate_series(1, CAST((dof - 1) / 2 AS BIGINT)) g(i)), 0)")
     p = f"LEAST(GREATEST(CASE WHEN score <= 0 THEN 1.0 WHEN dof % 2 = 0 THEN {even} ELSE {odd} END, 0.0), 1.0)"
     short = "reference_n < 50 OR current_n < 50"
@@ -247,7 +248,8 @@ SELECT d AS window_end, SQRT(s2 / n) AS rmse, sa / n AS mae, s1 / n AS bias FROM
   WINDOW w AS (ORDER BY d RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)) y"""}))
 def agg_18_persistent_degradation(spark, sf_dir):
     hist = rolling_metrics(Inputs(spark, sf_dir).predictions(), days=7)
-    return persistent_degradation(hist, 2)
+    # one row per window end: the end itself orders them
+    return persistent_degradation(hist, 2, order_col="window_end")
 
 
 @query("jon_15_window_membership", with_ctes("""

@@ -387,15 +387,25 @@ def udf_05_collect_list_aggregate(spark, sf_dir):
     return st.select(F.col("entity").alias("Store"), F.transform("history", lambda x: x.cast("int")).alias("promo_history"))
 
 
-@query("udf_06_statistical_tails", """
-SELECT x, dof, ROUND(CASE WHEN dof % 2 = 0 THEN EXP(-x / 2.0) * (SELECT SUM(EXP(i * LN(x / 2.0) - lgamma(i + 1)))
-                                                         FROM generate_series(0, CAST(dof / 2 - 1 AS BIGINT)) g(i))
-                  END, 4) AS p_value
-FROM (SELECT CAST(p_size AS DOUBLE) AS x, CAST(2 * (1 + p_size % 10) AS INT) AS dof FROM part) t""")
+def _tails_sql() -> str:
+    from panelcast.plans.q_drift import _erfc_sql
+    h = "(x / 2.0)"
+    return f"""
+SELECT x, dof, ROUND(CASE WHEN dof % 2 = 0
+    THEN (SELECT SUM(EXP(i * LN({h}) - lgamma(i + 1) - {h})) FROM generate_series(0, CAST(dof / 2 - 1 AS BIGINT)) g(i))
+    ELSE {_erfc_sql(f'SQRT({h})')} + COALESCE((SELECT SUM(EXP((i - 0.5) * LN({h}) - lgamma(i + 0.5) - {h}))
+         FROM generate_series(1, CAST((dof - 1) / 2 AS BIGINT)) g(i)), 0) END, 4) AS p_value
+FROM (SELECT CAST(p_size AS DOUBLE) AS x, CAST(1 + p_partkey % 23 AS INT) AS dof FROM part
+      UNION ALL SELECT CAST(1400 + p_partkey % 400 AS DOUBLE), CAST(1500 + p_size AS INT) FROM part) t"""
+
+
+@query("udf_06_statistical_tails", _tails_sql())
 def udf_06_statistical_tails(spark, sf_dir):
-    """Chi-square upper tails as JVM expressions (even degrees of freedom
-    checked against an independent lgamma series)."""
+    """Chi-square upper tails as JVM expressions, odd, even and large degrees of freedom
+    (checked against independent lgamma sums)."""
     from panelcast.functions.stats import chi2_sf
-    p = Inputs(spark, sf_dir).t.part.select(F.col("p_size").cast("double").alias("x"),
-                                           (2 * (1 + F.col("p_size") % 10)).cast("int").alias("dof"))
-    return rounded(p.select("x", "dof", chi2_sf(F.col("x"), F.col("dof")).alias("p_value")))
+    part = Inputs(spark, sf_dir).t.part
+    small = part.select(F.col("p_size").cast("double").alias("x"), (1 + F.col("p_partkey") % 23).cast("int").alias("dof"))
+    large = part.select((1400 + F.col("p_partkey") % 400).cast("double").alias("x"), (1500 + F.col("p_size")).cast("int").alias("dof"))
+    both = small.unionByName(large)
+    return rounded(both.select("x", "dof", chi2_sf(F.col("x"), F.col("dof")).alias("p_value")))

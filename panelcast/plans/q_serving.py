@@ -53,6 +53,10 @@ def agg_24_latency_histogram(spark, sf_dir):
     return S.latency_histogram(Inputs(spark, sf_dir).requests())
 
 
+#: The stand-in request log of the SLO query runs at this multiple of the events' pace.
+BUSY = 20
+
+
 def _slo_sql() -> str:
     bl = [*S.LATENCY_BUCKETS_SECONDS, float("inf")]
     bcols = ", ".join(f"COUNT(*) FILTER (WHERE latency_seconds <= {x!r}) AS b{i}" if x != float("inf")
@@ -82,14 +86,16 @@ FROM (SELECT *, e5 / GREATEST(n, 1) AS error_ratio, {p95} AS p95_seconds,
             WINDOW w AS (ORDER BY g.minute RANGE BETWEEN 9 PRECEDING AND CURRENT ROW)) r) s
 WINDOW h AS (ORDER BY minute RANGE BETWEEN 5 PRECEDING AND CURRENT ROW)""", "request_log", extra={
         "per": f"SELECT CAST(FLOOR(epoch(ts) / 60) AS BIGINT) AS minute, COUNT(*) AS n, "
-               f"COUNT(*) FILTER (WHERE status_code >= 500) AS e5, {bcols} FROM request_log WHERE path = '/predict' GROUP BY 1"})
+               f"COUNT(*) FILTER (WHERE status_code >= 500) AS e5, {bcols} FROM busy_log WHERE path = '/predict' GROUP BY 1",
+        "busy_log": f"SELECT * REPLACE (make_timestamp(CAST(FLOOR(epoch(ts) / {BUSY}) AS BIGINT) * 1000000) AS ts) FROM request_log"})
 
 
 @query("agg_25_slo_breach_rules", _slo_sql())
 def agg_25_slo_breach_rules(spark, sf_dir):
     """5xx-ratio and p95 rules of /predict, evaluated every minute."""
     # 6 places: interpolated p95 values are short binary fractions (ties at 4 places)
-    return rounded(S.slo_breaches(Inputs(spark, sf_dir).requests()), 6)
+    busy = Inputs(spark, sf_dir).requests().withColumn("ts", F.timestamp_seconds(F.floor(F.unix_timestamp("ts") / BUSY)))
+    return rounded(S.slo_breaches(busy), 6)
 
 
 def _alerts(spark, sf_dir):
@@ -99,7 +105,7 @@ def _alerts(spark, sf_dir):
     dec = retraining_decision(store_signals(i)).join(i.store().select("Store", "StoreType"), "Store")
     sev = F.when(F.col("action") == "block", "critical").when(F.col("action") == "train_candidate", "warning") \
            .otherwise("info")
-    return dec.select(F.concat(F.lit("stores-"), F.col("StoreType")).alias("group"),
+    return dec.select(F.concat(F.lit("stores-"), F.col("StoreType"), F.lit("-"), F.floor(F.col("Store") / 100).cast("string")).alias("group"),
                       F.concat(F.lit("Retrain_"), F.col("action"), F.lit("_"), F.col("Store").cast("string")).alias("alertname"),
                       F.lit("forecasting-api").alias("service"), sev.alias("severity"),
                       F.element_at("reasons", 1).alias("summary"))
@@ -123,7 +129,7 @@ SELECT "group", CASE MAX(rk) WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE '
        '[FIRING] ' || "group" AS title,
        string_agg(line, chr(10) ORDER BY alertname, line) || chr(10) || 'Alert count: ' || COUNT(*) AS message,
        COUNT(*) AS alert_count
-FROM (SELECT 'stores-' || s.StoreType AS "group", 'Retrain_' || d.action || '_' || d.Store AS alertname,
+FROM (SELECT 'stores-' || s.StoreType || '-' || (d.Store // 100) AS "group", 'Retrain_' || d.action || '_' || d.Store AS alertname,
              CASE d.action WHEN 'block' THEN 2 WHEN 'train_candidate' THEN 1 ELSE 0 END AS rk,
              '- ' || 'Retrain_' || d.action || '_' || d.Store || ' | service=forecasting-api | ' || d.summary AS line
       FROM dec d JOIN store_dim s USING (Store)) a
@@ -132,7 +138,8 @@ GROUP BY "group" """, "naive_predictions", "store_dim", extra={**_SIGNALS, "dec"
 
 @query("agg_26_alert_grouping", _alerts_sql())
 def agg_26_alert_grouping(spark, sf_dir):
-    """Store retraining decisions as alerts, grouped per store type."""
+    """Store retraining decisions as alerts, grouped per store type and hundred of
+    stores (at most 100 alerts in a group)."""
     return S.group_alerts(_alerts(spark, sf_dir))
 
 

@@ -37,7 +37,7 @@ def win_08_state_roll_forward(spark, sf_dir):
     """State from the training period, rolled forward with the holdout batch."""
     p = Inputs(spark, sf_dir).panel()
     train, val = holdout_split(p, R, 14)
-    new_state, _summary = update_state(create_state(train, R, 28), val, R, 28)
+    new_state, _summary = update_state(create_state(train, R, 28), val, R, 28, order_col="Customers")
     return new_state
 
 
@@ -48,7 +48,7 @@ SELECT COUNT(DISTINCT Store) AS updated_entities, COUNT(*) AS appended_values,
 def win_08_state_update_summary(spark, sf_dir):
     p = Inputs(spark, sf_dir).panel()
     train, val = holdout_split(p, R, 14)
-    return update_state(create_state(train, R, 28), val, R, 28)[1]
+    return update_state(create_state(train, R, 28), val, R, 28, order_col="Customers")[1]
 
 
 def _state_rows_sql() -> str:

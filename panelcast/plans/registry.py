@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.session import cut_lineage
 from panelcast.sources.adapters import naive_predictions, request_log, sales_panel, store_dim
 from panelcast.sources.tables import Tables
 
@@ -33,55 +32,15 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-_MATERIALIZED: dict[tuple, DataFrame] = {}
-
-
 class Inputs:
-    """The adapter tables for one scale-factor folder.
-
-    The sales panel is the stand-in for the input table of the data model
-    (a stored table in a real pipeline). It is built once per session and
-    folder, hash-partitioned by entity and written with a reliable
-    ``checkpoint()`` into the shared checkpoint folder; the checkpoint keeps
-    that partitioning, so per-entity windows downstream need no exchange,
-    and a query that reads the panel in several branches does not rebuild it.
-    """
+    """The adapter tables for one scale-factor folder, all lazy plans over the
+    driver's Parquet tables: column pruning and filters reach the scan."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        # The data model is UTC throughout (driver timestamps are NTZ and are
-        # cast to TIMESTAMP before watermarks and windows).
-        if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.t = Tables(spark, sf_dir)
         self.spark = spark
 
-    def _materialized(self, name: str, build) -> DataFrame:
-        sc = self.spark.sparkContext
-        key = (sc.applicationId, sc.startTime, self.t.sf_dir, name)
-        df = _MATERIALIZED.get(key)
-        if df is None:
-            # The checkpoint records the physical plan's partitioning only when
-            # the plan is static; the adaptive root of an AQE plan reports none,
-            # so this one materialization job runs with AQE off.
-            conf = self.spark.conf
-            prev = conf.get("spark.sql.adaptive.enabled", "true")
-            conf.set("spark.sql.adaptive.enabled", "false")
-            try:
-                df = cut_lineage(build())
-            finally:
-                conf.set("spark.sql.adaptive.enabled", prev)
-            _MATERIALIZED[key] = df
-        return df
-
     def panel(self) -> DataFrame:
-        # The session's shuffle-partition count is the sizing knob (set it to
-        # the data volume on a cluster); a fixed count keeps all cores busy on
-        # small local data, where AQE would coalesce the panel into one task.
-        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        return self._materialized("panel", lambda: sales_panel(self.t.lineitem).repartition(parts, "Store"))
-
-    def panel_from_source(self) -> DataFrame:
-        """The panel adapter as a lazy plan over ``lineitem`` (not materialized)."""
         return sales_panel(self.t.lineitem)
 
     def store(self) -> DataFrame:

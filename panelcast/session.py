@@ -44,14 +44,17 @@ def get_session(master: str | None = None, app: str = "panelcast",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only when unset."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``. Where it is
+    unset, a local session (tests) gets a scratch folder; a cluster gets an error, since
+    its executors could not read a folder of the driver's."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: local test runs only.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

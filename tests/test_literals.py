@@ -285,13 +285,81 @@ def test_win08_roll_forward_keeps_last_n(spark):
     st = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "entity long, history array<double>")
     batch = spark.createDataFrame([(1, D(2026, 1, 1), 4.0), (1, D(2026, 1, 2), 5.0), (2, D(2026, 1, 1), 9.0)],
                                   "Store long, Date date, Sales double")
-    new, summary = update_state(st, batch, Roles(), n=4)
+    new, summary = update_state(st, batch, Roles(), n=4, order_col=batch.columns[-1])
     got = {r["entity"]: r["history"] for r in new.collect()}
     assert got == {1: [2.0, 3.0, 4.0, 5.0], 2: [9.0]}
     s = summary.first()
     assert s["updated_entities"] == 2 and s["appended_values"] == 3 and s["state_entities"] == 2
 
 
+# (x, degrees of freedom, upper tail) from exact term sums in double precision.
+CHI2_TAILS = [
+    (999.3333, 1000, 5.000010031e-01),
+    (1106.969, 1000, 9.999996854e-03),
+    (2000, 1600, 2.571573559e-11),
+    (1600, 1600, 4.952983876e-01),
+    (3182.05, 1499, 4.551112286e-123),
+    (9999.333, 10000, 5.000009626e-01),
+    (10332.0, 10000, 9.987757997e-03),
+    (12000.0, 10000, 1.147006552e-40),
+    (999999.33, 1000000, 5.000009403e-01),
+    (1003293.0, 1000000, 9.998000984e-03),
+    (1030000.0, 1000000, 2.940622544e-98),
+    (1.5, 7, 9.823096598e-01),
+    (40.0, 3, 1.065509033e-08),
+    (900.0, 1001, 9.899103827e-01),
+]
+
+
+def test_chi2_tail_at_every_scale(spark):
+    from panelcast.functions.stats import chi2_sf
+    df = spark.createDataFrame([(float(x), d, p) for x, d, p in CHI2_TAILS], "x double, k int, p double")
+    for r in df.select("x", "k", "p", chi2_sf(F.col("x"), F.col("k")).alias("got")).collect():
+        assert r["got"] == pytest.approx(r["p"], rel=1e-6), r
+
+
+def test_drift_keeps_null_groups(spark):
+    from panelcast.operators.drift import categorical_drift, numeric_drift
+    rows = [(None, float(k), "a") for k in range(100)] + [("g", float(k), "a") for k in range(100)]
+    ref = spark.createDataFrame(rows, "g string, v double, c string")
+    cur = ref.withColumn("v", F.col("v") + 50)
+    for drift, col in ((numeric_drift, "v"), (categorical_drift, "c")):
+        got = {r["g"]: r for r in drift(ref, cur, [col], group_cols=["g"]).collect()}
+        assert set(got) == {None, "g"}
+        assert all((r["reference_n"], r["current_n"], r["reason"]) == (100, 100, "") for r in got.values())
+    assert got[None]["score"] == got["g"]["score"]
+
+
+def test_integral_keys_do_not_pass_through_double(spark):
+    from panelcast.operators.joins import join_predictions_truth
+    big = 2 ** 53 + 1
+    a = spark.createDataFrame([(big, D(2026, 1, 1), 1.0), (big - 1, D(2026, 1, 1), 2.0)], "Store long, Date date, prediction double")
+    b = spark.createDataFrame([(str(big), "2026-01-01", 3.0), ("7.0", "2026-01-01", 4.0), ("x", "2026-01-01", 5.0)],
+                              "Store string, Date string, Sales double")
+    got = join_predictions_truth(a, b).collect()
+    assert [(r["Store"], r["prediction"]) for r in got] == [(big, 1.0)]
+
+
+def test_alert_defaults_and_description(spark):
+    from panelcast.operators.serving import group_alerts
+    rows = [("a", "B", None, "svc", "sum", "more"), ("a", None, "info", None, None, ""), ("b", "C", "info", "s", "t", None)]
+    alerts = spark.createDataFrame(rows, "group string, alertname string, severity string, service string, summary string, description string")
+    got = {r["group"]: r for r in group_alerts(alerts).collect()}
+    assert got["a"]["severity"] == "warning" and got["b"]["severity"] == "info"
+    assert got["a"]["message"].split("\n") == ["- UnnamedAlert | service=unknown | No summary provided.",
+                                              "- B | service=svc | sum", "  more", "Alert count: 2"]
+
+
+def test_keep_last_needs_an_order(spark):
+    from panelcast.operators.state import create_state, update_state
+    rows = [(1, D(2026, 1, 1), 4.0, 2), (1, D(2026, 1, 1), 5.0, 1)]
+    batch = spark.createDataFrame(rows, "Store long, Date date, Sales double, line int")
+    new, _ = update_state(create_state(batch.limit(0)), batch, Roles(), order_col="line")
+    assert new.first()["history"] == [4.0]
+    with pytest.raises(TypeError):
+        update_state(create_state(batch), batch, Roles())
+
+
 def test_chi2_and_ks_tails(spark):
     from panelcast.functions.stats import chi2_sf, ks_pvalue
     df = spark.createDataFrame([(3.841459, 1), (5.991465, 2), (7.814728, 3), (9.487729, 4), (11.0705, 5), (0.0, 3)],

@@ -24,21 +24,20 @@ def test_feature_plan_single_exchange_by_entity(spark):
     i = Inputs(spark, SF_SMALL)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = _plan(build_features(join_dimension(i.panel_from_source(), i.store(), "Store"), R))
-        mat = _plan(build_features(join_dimension(i.panel(), i.store(), "Store"), R))
+        plan = _plan(build_features(join_dimension(i.panel(), i.store(), "Store"), R))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     hash_exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
     assert len(hash_exchanges) == 3, plan
     assert sum("hashpartitioning(Store" in ln and ", Date" not in ln for ln in hash_exchanges) == 1
     assert "BroadcastHashJoin" in plan
-    # On the materialized panel (hash-partitioned by Store) the windows need no exchange.
-    assert "Exchange hashpartitioning" not in mat, mat
+    # The scan reads the panel's columns only, and no session-wide copy of it.
+    assert "Scan ExistingRDD" not in plan and "l_comment" not in plan
 
 
 def test_scan_prunes_columns(spark):
     i = Inputs(spark, SF_SMALL)
-    plan = _plan(i.panel_from_source())
+    plan = _plan(i.panel())
     assert "l_partkey" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
