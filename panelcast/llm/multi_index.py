@@ -95,19 +95,17 @@ class Shard:
         self.codes = codes.encode(x)
         self.tables = []
         for j in range(self.codes.shape[1]):
-            order = np.argsort(self.codes[:, j], kind="stable")
-            values, starts = np.unique(self.codes[order, j], return_index=True)
-            self.tables.append((values, np.append(starts, len(order)), order))
+            self.tables.append(np.unique(self.codes[:, j], return_inverse=True))
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Rows whose code is within the radius: pigeonhole probing, then whole codes."""
         each, rest = divmod(radius, len(self.tables))
         hit = np.zeros(len(self.ids), bool)
-        for j, (values, starts, order) in enumerate(self.tables):
+        for j, (values, bucket) in enumerate(self.tables):
             reach = each if j <= rest else each - 1
             if reach >= 0:
-                for v in np.flatnonzero(np.bitwise_count(values ^ code[j]) <= reach).tolist():
-                    hit[order[starts[v]:starts[v + 1]]] = True
+                # Probe the buckets of the values in reach; rows know their bucket.
+                hit |= (np.bitwise_count(values ^ code[j]) <= reach)[bucket]
         rows = np.flatnonzero(hit)
         return rows[distances(self.codes[rows], code) <= radius]
 
