@@ -85,9 +85,9 @@ FROM (SELECT *, e5 / GREATEST(n, 1) AS error_ratio, {p95} AS p95_seconds,
             LEFT JOIN per USING (minute)
             WINDOW w AS (ORDER BY g.minute RANGE BETWEEN 9 PRECEDING AND CURRENT ROW)) r) s
 WINDOW h AS (ORDER BY minute RANGE BETWEEN 5 PRECEDING AND CURRENT ROW)""", "request_log", extra={
+        "busy_log": f"SELECT * REPLACE (make_timestamp(CAST(FLOOR(epoch(ts) / {BUSY}) AS BIGINT) * 1000000) AS ts) FROM request_log",
         "per": f"SELECT CAST(FLOOR(epoch(ts) / 60) AS BIGINT) AS minute, COUNT(*) AS n, "
-               f"COUNT(*) FILTER (WHERE status_code >= 500) AS e5, {bcols} FROM busy_log WHERE path = '/predict' GROUP BY 1",
-        "busy_log": f"SELECT * REPLACE (make_timestamp(CAST(FLOOR(epoch(ts) / {BUSY}) AS BIGINT) * 1000000) AS ts) FROM request_log"})
+               f"COUNT(*) FILTER (WHERE status_code >= 500) AS e5, {bcols} FROM busy_log WHERE path = '/predict' GROUP BY 1"})
 
 
 @query("agg_25_slo_breach_rules", _slo_sql())
