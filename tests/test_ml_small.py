@@ -38,6 +38,22 @@ def test_sample_params_seeded():
     assert ML.sample_params(3, 42) != ML.sample_params(3, 7)
 
 
+def test_patience_and_search_space():
+    from panelcast.operators import ml as ML
+    assert ML.stopping_iteration([5, 4, 3, 3.5, 3.2, 2], 2) == 2
+    assert ML.stopping_iteration([5, 4, 3, 3.5, 3.2, 2], 4) == 5
+    assert ML.TRAINING_PARAMS["n_estimators"] == 1200 and ML.SEARCH_TRIALS == 15
+    maps = ML.sample_params(200)
+    assert all(len(m) == 9 and m["n_estimators"] in ML.SEARCH_ROUNDS and 0.02 <= m["learning_rate"] <= 0.1 for m in maps)
+
+
+def test_categories_beyond_the_default_bins(spark):
+    from panelcast.operators import ml as ML
+    df = spark.createDataFrame([(f"c{i % 90}", float(i % 90)) for i in range(400)], "c string, Sales double")
+    model = ML.fit(df, [], ["c"], params={"n_estimators": 2, "max_depth": 2})
+    assert ML.predict(model, df, [], ["c"]).count() == 400
+
+
 def test_config_hash_is_sorted_json():
     import hashlib
     import json
