@@ -370,28 +370,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     part = components(links, work, "cc-1")
 
     # Second round: pairs of different components that share a bucket, members expanded.
-    # Buckets with the same members count as one, with their number as weight; a pair's
-    # weights add up to the shingles that its prefixes share.
-    members = (stars.where("kind > 0").select("token", F.col("u").alias("gid"), "size").distinct()
+    # Buckets with the same members count as one, each member at its first place in them.
+    members = (stars.where("kind > 0").select("token", F.col("u").alias("gid"), "place", "size").distinct()
                .join(grouped.select("gid", "id"), "gid").join(part, "id", "left")
-               .select("token", "size", "id", F.coalesce("component", "id").alias("comp")))
+               .select("token", "place", "size", "id", F.coalesce("component", "id").alias("comp")))
     members = work.table(members, "members")
     mixed = (members.groupBy("token").agg(
         F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-        F.bit_xor(F.xxhash64("id")).alias("s1"), F.bit_xor(F.xxhash64(F.lit("second"), "id")).alias("s2")).where("lo <> hi"))
-    weighted = mixed.groupBy("n", "s1", "s2").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
-    open_rows = members.join(weighted.select("token", "weight"), "token")
+        F.bit_xor(F.xxhash64("id")).alias("s1"), F.bit_xor(F.xxhash64(F.lit("second"), "id")).alias("s2"))
+        .where("n > 2 AND lo <> hi").select("token", F.struct("n", "s1", "s2").alias("bucket")))
+    open_rows = work.table(members.join(mixed, "token").groupBy("bucket", "id", "size", "comp")
+                           .agg(F.min("place").alias("place")), "open")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    cross = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id"))
-                   & (F.col("x.comp") != F.col("y.comp")) & (100 * small >= percent * large))
-    shared = cross.groupBy(F.col("x.id").alias("u"), F.col("y.id").alias("v"), F.col("x.size").alias("m"),
-                           F.col("y.size").alias("n")).agg(F.sum("x.weight").alias("shared"))
+    left = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    cross = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id"))
+                   & (F.col("x.comp") != F.col("y.comp")) & (100 * small >= percent * large)
+                   & ((100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size"))))
+    pairs = cross.select(F.col("x.id").alias("u"), F.col("y.id").alias("v")).distinct().join(first, ["u", "v"], "left_anti")
     # Outside its prefix a set has ceil(0.8 n) - 1 shingles; the set whose prefix ends first
     # in the corpus order overlaps the other in what the prefixes share and those at most.
+    heads_of = prefixes.select("id", F.col("size").cast("long").alias("size"), "prefix")
+    both = (pairs.join(heads_of.select(F.col("id").alias("u"), F.col("size").alias("m"), F.col("prefix").alias("pu")), "u")
+            .join(heads_of.select(F.col("id").alias("v"), F.col("size").alias("n"), F.col("prefix").alias("pv")), "v"))
     rest = F.ceil(F.greatest("m", "n") * percent / 100) - 1
-    worth = shared.where((F.col("shared") + rest) * (100 + percent) >= percent * (F.col("m") + F.col("n")))
-    second = worth.select("u", "v").join(first, ["u", "v"], "left_anti")
+    second = both.where((F.size(F.array_intersect("pu", "pv")) + rest) * (100 + percent)
+                        >= percent * (F.col("m") + F.col("n"))).select("u", "v")
     second = work.table(second, "second")
     more = work.table(_verify(second, source, heads, n, percent, work, "second"), "links-2")
     found = components(links.unionByName(more), work, "cc-2")
