@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,14 @@ MIN_SAMPLES = 50
 P_VALUE_THRESHOLD = 0.01
 STAT_THRESHOLD = 0.10
 EXPECTED_FLOOR = 1e-9
+# Reasons of the persistence rules.
+REASON_NO_DRIFT_HISTORY = "No feature drift history available."
+REASON_FEW_DRIFT_WINDOWS = "Not enough recent feature drift windows: "
+REASON_NO_DRIFT = "No feature drift persisted across {n} windows."
+REASON_PERSISTENT_DRIFT = "Persistent feature drift detected for: "
+REASON_FEW_WINDOWS = "Not enough performance windows: "
+REASON_NOT_DEGRADED = "Performance degradation is not persistent across {n} windows."
+REASON_PERSISTENT_DEGRADATION = "Persistent performance degradation detected across {n} windows."
 
 
 def long_samples(reference: DataFrame, current: DataFrame, features: Sequence[str],
@@ -221,11 +229,10 @@ def persistent_drift(history: DataFrame, at, lookback_days: int = 14, windows: i
     """AGG-17: in (at - lookback, at], take the last N distinct timestamps;
     a feature persists when it appears in all N with drift each time and
     exactly one row per window (count == N). Fewer than N windows -> not
-    triggered. One row: triggered, windows_found, features."""
-    from pyspark.sql import Column
+    triggered. One row: triggered, windows_found, window_end, features, reason."""
     at_c = (at if isinstance(at, Column) else F.lit(at)).cast("timestamp")
     ts = F.col(ts_col).cast("timestamp")
-    recent = history.filter((ts > at_c - F.expr(f"INTERVAL {lookback_days} DAYS")) & (ts <= at_c)) \
+    recent = history.filter((ts >= at_c - F.expr(f"INTERVAL {lookback_days} DAYS")) & (ts <= at_c)) \
                     .withColumn("_ts", ts)
     last = recent.select("_ts").distinct().orderBy(F.col("_ts").desc()).limit(windows)
     inwin = recent.join(last, "_ts", "left_semi")
@@ -233,13 +240,17 @@ def persistent_drift(history: DataFrame, at, lookback_days: int = 14, windows: i
                                        F.count_if(F.col("drift_detected")).alias("drifted"))
     feats = per.filter((F.col("n") == windows) & (F.col("drifted") == windows)).agg(
         F.array_sort(F.collect_list("feature")).alias("features"))
-    found = last.agg(F.count(F.lit(1)).alias("windows_found"))
-    out = found.select("windows_found", feats.scalar().alias("features"))
-    return out.select(
-        ((F.col("windows_found") >= windows) & (F.size(F.coalesce("features", F.array().cast("array<string>"))) > 0))
-        .alias("triggered"), "windows_found",
-        F.when(F.col("windows_found") >= windows, F.coalesce("features", F.array().cast("array<string>")))
-        .otherwise(F.array().cast("array<string>")).alias("features"))
+    found = last.agg(F.count(F.lit(1)).alias("windows_found"), F.max("_ts").alias("window_end"))
+    none = F.array().cast("array<string>")
+    out = found.select("windows_found", "window_end", F.when(F.col("windows_found") >= windows, F.coalesce(
+        feats.scalar(), none)).otherwise(none).alias("features"))
+    reason = (F.when(F.col("windows_found") == 0, F.lit(REASON_NO_DRIFT_HISTORY))
+              .when(F.col("windows_found") < windows, F.concat(
+                  F.lit(REASON_FEW_DRIFT_WINDOWS), F.col("windows_found").cast("string"), F.lit(f"/{windows}.")))
+              .when(F.size("features") == 0, F.lit(REASON_NO_DRIFT.format(n=windows)))
+              .otherwise(F.concat(F.lit(REASON_PERSISTENT_DRIFT + "['"), F.array_join("features", "', '"), F.lit("']."))))
+    return out.select((F.size("features") > 0).alias("triggered"), "windows_found", "window_end", "features",
+                      reason.alias("reason"))
 
 
 def persistent_degradation(history: DataFrame, windows: int = 2, rmse_limit: float = 1375.0,
@@ -260,4 +271,8 @@ def persistent_degradation(history: DataFrame, windows: int = 2, rmse_limit: flo
     return last.groupBy(*keys).agg(F.count(F.lit(1)).alias("windows_found"), F.count_if(bad).alias("bad_windows"),
                                    F.max(end_col).alias("performance_window_end")).select(
         *keys, ((F.col("windows_found") == windows) & (F.col("bad_windows") == windows)).alias("triggered"),
-        "windows_found", "bad_windows", "performance_window_end")
+        "windows_found", "bad_windows", "performance_window_end",
+        F.when(F.col("windows_found") < windows, F.concat(
+            F.lit(REASON_FEW_WINDOWS), F.col("windows_found").cast("string"), F.lit(f"/{windows}.")))
+        .when(F.col("bad_windows") < windows, F.lit(REASON_NOT_DEGRADED.format(n=windows)))
+        .otherwise(F.lit(REASON_PERSISTENT_DEGRADATION.format(n=windows))).alias("reason"))

@@ -211,14 +211,18 @@ _DAY_REF = ("SELECT *, CAST(CAST(ts AS DATE) + 2 AS TIMESTAMP) AS run_ts FROM ev
 
 @query("agg_17_persistent_drift", with_ctes(f"""
 SELECT COUNT(*) >= 2 AND COALESCE(len(f.features), 0) > 0 AS triggered, CAST(COUNT(*) AS BIGINT) AS windows_found,
-       CASE WHEN COUNT(*) >= 2 THEN COALESCE(f.features, []) ELSE [] END AS features
+       MAX(run_ts) AS window_end, CASE WHEN COUNT(*) >= 2 THEN COALESCE(f.features, []) ELSE [] END AS features,
+       CASE WHEN COUNT(*) < 2 THEN 'Not enough recent feature drift windows: ' || COUNT(*) || '/2.'
+            WHEN COALESCE(len(f.features), 0) = 0 THEN 'No feature drift persisted across 2 windows.'
+            ELSE 'Persistent feature drift detected for: [' || chr(39) || array_to_string(f.features, chr(39) || ', ' || chr(39))
+                 || chr(39) || '].' END AS reason
 FROM lastw, (SELECT list_sort(list(feature)) AS features FROM (
       SELECT feature FROM hist WHERE run_ts IN (SELECT run_ts FROM lastw)
       GROUP BY feature HAVING COUNT(*) = 2 AND COUNT(*) FILTER (WHERE drift_detected) = 2)) f
 GROUP BY f.features""", extra={"dcur": _DAY_CUR, "dref": _DAY_REF,
                                "hist": _ks_sql(["value", "user_id"], group="run_ts", src_cur="dcur", src_ref="dref",
                                                min_samples=50),
-                               "lastw": "SELECT DISTINCT run_ts FROM hist WHERE run_ts > (SELECT MAX(run_ts) FROM hist) - INTERVAL 14 DAY ORDER BY run_ts DESC LIMIT 2"}))
+                               "lastw": "SELECT DISTINCT run_ts FROM hist WHERE run_ts >= (SELECT MAX(run_ts) FROM hist) - INTERVAL 14 DAY ORDER BY run_ts DESC LIMIT 2"}))
 def agg_17_persistent_drift(spark, sf_dir):
     """Day-over-day drift runs of ``value`` and ``user_id`` build a drift
     history; the persistence rule (last 2 runs within 14 days) is then
@@ -239,7 +243,11 @@ def agg_17_persistent_drift(spark, sf_dir):
 SELECT COUNT(*) = 2 AND COUNT(*) FILTER (WHERE (rmse > 1375.0 AND mae > 990.0) OR ABS(bias) > 900.0) = 2 AS triggered,
        COUNT(*) AS windows_found,
        COUNT(*) FILTER (WHERE (rmse > 1375.0 AND mae > 990.0) OR ABS(bias) > 900.0) AS bad_windows,
-       MAX(window_end) AS performance_window_end
+       MAX(window_end) AS performance_window_end,
+       CASE WHEN COUNT(*) < 2 THEN 'Not enough performance windows: ' || COUNT(*) || '/2.'
+            WHEN COUNT(*) FILTER (WHERE (rmse > 1375.0 AND mae > 990.0) OR ABS(bias) > 900.0) < 2
+            THEN 'Performance degradation is not persistent across 2 windows.'
+            ELSE 'Persistent performance degradation detected across 2 windows.' END AS reason
 FROM (SELECT * FROM rm ORDER BY window_end DESC LIMIT 2) t""", "naive_predictions", extra={"rm": """
 SELECT d AS window_end, SQRT(s2 / n) AS rmse, sa / n AS mae, s1 / n AS bias FROM (
   SELECT d, SUM(s2) OVER w AS s2, SUM(sa) OVER w AS sa, SUM(s1) OVER w AS s1, SUM(n) OVER w AS n

@@ -224,12 +224,18 @@ def win_12_trend_retrain_test(spark, sf_dir):
     return rounded(sig.select("run", "day", "is_bad", "points", "bad_run", "rmse_step", "bias_step", "should_retrain"))
 
 
-@query("win_12_retrain_with_cooldown")
+@query("win_12_retrain_with_cooldown", with_ctes("""
+SELECT p.run, p.day, l.window_end, ROUND(l.rmse, 4) AS rmse FROM picked p JOIN life l ON l.run = p.run AND l.day = p.day""",
+    "naive_predictions", extra={**_LIFE, "sig": _SIGNAL_SQL, "bad": "SELECT run, day FROM sig WHERE should_retrain", "picked": """
+WITH RECURSIVE r AS (
+  SELECT run, MIN(day) AS day FROM bad GROUP BY run
+  UNION ALL SELECT n.run, n.day FROM (SELECT r.run, MIN(b.day) AS day FROM r JOIN bad b ON b.run = r.run AND b.day >= r.day + 14 GROUP BY r.run) n)
+SELECT run, day FROM r"""}))
 def win_12_retrain_with_cooldown(spark, sf_dir):
     """Retrain days after the 14-day cooldown scan (sequential per run)."""
     sig = M.retrain_signal(_lifecycle(Inputs(spark, sf_dir)), run_col="run", min_samples_latest=100)
     out = M.apply_cooldown(sig, "run", "day", 14)
-    return out.filter("retrain").select("run", "day", "window_end", "rmse")
+    return rounded(out.filter("retrain").select("run", "day", "window_end", "rmse"))
 
 
 _EVENTS = dict(_LIFE)

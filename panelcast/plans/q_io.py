@@ -56,10 +56,12 @@ def src_04_suffix_dispatched_load(spark, sf_dir):
 
 @query("src_05_multi_file_glob_scan")
 def src_05_multi_file_glob_scan(spark, sf_dir):
-    """Rows per batch file (file path from ``_metadata``)."""
+    """Rows per batch folder (from the file path in ``_metadata``)."""
     path = _write_batches(spark, sf_dir, "src05")
     b = Fi.read_batches(spark, f"{path}/year=*/*.csv")
-    return b.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.min("Date").alias("min_date"))
+    year = F.regexp_extract("file", r"year=(\d+)", 1).cast("int").alias("year")
+    return b.groupBy(year).agg(F.count(F.lit(1)).alias("rows"), F.min("Date").alias("min_date"),
+                               (F.count("file_mtime") == F.count(F.lit(1))).alias("all_timed"))
 
 
 @query("src_06_optional_source")
@@ -126,7 +128,11 @@ def snk_01_overwrite_sink(spark, sf_dir):
     from panelcast.operators.metrics import rolling_metrics
     out = Fi.scratch_dir(spark, "snk01") + "/metrics.csv"
     Sk.save_table(rolling_metrics(Inputs(spark, sf_dir).predictions()), out)
-    return spark.read.option("header", True).csv(out)
+    Sk.save_table(rolling_metrics(Inputs(spark, sf_dir).predictions()), out)  # the second write replaces the first
+    from panelcast.plans.registry import rounded
+    back = spark.read.option("header", True).csv(out)
+    return rounded(back.select(F.col("window_end").cast("date").alias("window_end"), F.col("n_samples").cast("long"),
+                               *[F.col(c).cast("double") for c in ("rmse", "mae", "bias")]))
 
 
 @query("snk_02_append_history")
@@ -151,7 +157,11 @@ def snk_03_prediction_log(spark, sf_dir):
     out = Fi.scratch_dir(spark, "snk03")
     Sk.log_predictions(p, out, environment="dev", model_alias="champion", model_version="1", run_id="r1",
                        release_id="rel-1", ts=dt.datetime(2024, 1, 31, 12, 0))
-    return spark.read.parquet(out).filter(F.col("prediction_date") == "2024-01-31")
+    back = spark.read.parquet(out).filter(F.col("prediction_date") == "2024-01-31")
+    from panelcast.plans.registry import rounded
+    ids = back.agg((F.count_distinct("prediction_id") == F.count("*")).alias("u")).scalar()
+    return rounded(back.select("Store", "Date", "Promo", "prediction", "environment", "model_alias", "model_version",
+                               "run_id", "release_id", ids.alias("ids_unique")))
 
 
 @query("snk_04_state_write_read")
@@ -197,10 +207,18 @@ def snk_07_manifest_catalogue(spark, sf_dir):
 
 @query("snk_08_artifact_checksums")
 def snk_08_artifact_checksums(spark, sf_dir):
-    """SHA-256 of every written snapshot file, verified against itself."""
+    """SHA-256 of every written snapshot file, verified against the recorded ones, after
+    the files of one version were overwritten with other rows."""
     root = _snapshot(spark, sf_dir)
-    sums = Sk.file_checksums(spark, f"{root}/ds_*/*/*.parquet")
-    return Sk.verify_checksums(sums, sums.select("path", "sha256")).select("path", "ok")
+    expected = Sk.file_checksums(spark, f"{root}/ds_*/*/*.parquet").select("path", "sha256")
+    recorded = f"{Fi.scratch_dir(spark, 'snk08')}/checksums"
+    expected.write.parquet(recorded)
+    tampered = Inputs(spark, sf_dir).panel().withColumn("Sales", F.col("Sales") + 1)
+    tampered.write.mode("overwrite").parquet(f"{root}/ds_20240201_120000/validated")
+    checked = Sk.verify_checksums(Sk.file_checksums(spark, f"{root}/ds_*/*/*.parquet"), spark.read.parquet(recorded))
+    version = F.regexp_extract("path", r"/(ds_\d+_\d+)/(\w+)", 1).alias("version")
+    part = F.regexp_extract("path", r"/(ds_\d+_\d+)/(\w+)", 2).alias("part")
+    return checked.groupBy(version, part).agg(F.bool_and("ok").alias("ok")).where("part <> 'manifest'")
 
 
 @query("fun_10_file_content_batch_id")
@@ -230,6 +248,20 @@ SELECT ROUND(SQRT(s2 / n), 4) AS rmse, ROUND(sa / n, 4) AS mae, ROUND(s1 / n, 4)
   FROM (SELECT Date AS d, SUM((Sales - prediction) * (Sales - prediction)) AS s2, SUM(ABS(Sales - prediction)) AS sa,
                SUM(Sales - prediction) AS s1, COUNT(*) AS n FROM naive_predictions GROUP BY Date) x
   WINDOW w AS (ORDER BY d RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)) y""", "naive_predictions")
+    ORACLES["src_05_multi_file_glob_scan"] = with_ctes(
+        "SELECT CAST(year(Date) AS INT) AS year, COUNT(*) AS rows, MIN(Date) AS min_date, true AS all_timed FROM raw GROUP BY 1",
+        extra={"raw": RAW_ROWS_SQL})
+    ORACLES["src_07_prediction_log_json"] = with_ctes(
+        "SELECT Store, Date, Customers, Promo, prediction FROM naive_predictions WHERE prediction > 0", "naive_predictions")
+    ORACLES["snk_01_overwrite_sink"] = ("SELECT CAST(window_end AS DATE) AS window_end, n_samples, rmse, mae, bias FROM ("
+                                        + ORACLES["src_06_optional_source"] + ") h")
+    ORACLES["snk_03_prediction_log"] = with_ctes(
+        "SELECT Store, Date, Promo, ROUND(prediction, 4) AS prediction, 'dev' AS environment, 'champion' AS model_alias, "
+        "'1' AS model_version, 'r1' AS run_id, 'rel-1' AS release_id, true AS ids_unique FROM naive_predictions", "naive_predictions")
+    ORACLES["snk_08_artifact_checksums"] = (
+        "SELECT * FROM (VALUES ('ds_20240131_120000', 'validated', true), ('ds_20240131_120000', 'train', true), "
+        "('ds_20240131_120000', 'validation', true), ('ds_20240201_120000', 'validated', false)) t(version, part, ok) "
+        "WHERE EXISTS (SELECT 1 FROM lineitem)")
     ORACLES["snk_04_state_write_read"] = ORACLES["win_07_tail_n_state"]
     ORACLES["snk_06_manifest_resolve"] = with_ctes(
         "SELECT COUNT(*) AS rows, MAX(Date) AS max_date FROM sales_panel "

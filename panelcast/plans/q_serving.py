@@ -30,9 +30,19 @@ def agg_23_request_summary(spark, sf_dir):
     return S.request_summary(Inputs(spark, sf_dir).requests(), 900)
 
 
-@query("agg_23_request_breakdown")
+@query("agg_23_request_breakdown", with_ctes(f"""
+SELECT window_start, status_codes, paths FROM (
+  SELECT window_start, string_agg(k || '=' || c, ',' ORDER BY k) AS status_codes
+  FROM (SELECT {WIN} AS window_start, CAST(status_code AS VARCHAR) AS k, COUNT(*) AS c FROM request_log GROUP BY ALL) a GROUP BY 1) s
+JOIN (SELECT window_start, string_agg(k || '=' || c, ',' ORDER BY k) AS paths
+  FROM (SELECT {WIN} AS window_start, path AS k, COUNT(*) AS c FROM request_log GROUP BY ALL) b GROUP BY 1) p USING (window_start)""",
+                                             "request_log"))
 def agg_23_request_breakdown(spark, sf_dir):
-    return S.request_breakdown(Inputs(spark, sf_dir).requests(), 900)
+    """The count maps of each window, as sorted text."""
+    def text(col):
+        return F.array_join(F.transform(F.map_entries(col), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    out = S.request_breakdown(Inputs(spark, sf_dir).requests(), 900)
+    return out.select("window_start", text("status_codes").alias("status_codes"), text("paths").alias("paths"))
 
 
 def _hist_sql() -> str:
