@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Chunks a memo generation holds, and the longest chunk that is kept.
-MEMO_CHUNKS = 400_000
+MEMO_CHUNKS = 700_000
 MEMO_CHUNK_BYTES = 256
 #: Pieces in one call of the library.
 CALL_PIECES = 5000
@@ -92,21 +92,24 @@ class Memo:
         self.fill, self.new, self.old = fill, {}, {}
 
     def values(self, keys: list[bytes]) -> list[bytes]:
+        """The values of distinct keys."""
         found = list(map(self.new.get, keys))
-        if None not in found:
+        missing = [i for i, v in enumerate(found) if v is None]
+        if not missing:
             return found
-        unknown, extra = [], {}
-        for c in {c for c, v in zip(keys, found) if v is None}:
-            v = self.old.get(c)
-            if v is None:
-                unknown.append(c)
-            else:
-                extra[c] = v
-        extra.update(zip(unknown, self.fill(unknown) if unknown else ()))
-        found = [extra[c] if v is None else v for c, v in zip(keys, found)]
-        if len(self.new) + len(extra) > MEMO_CHUNKS:
+        wanted = [keys[i] for i in missing]
+        known = list(map(self.old.get, wanted))
+        unknown = [c for c, v in zip(wanted, known) if v is None]
+        filled = iter(self.fill(unknown) if unknown else ())
+        known = [next(filled) if v is None else v for v in known]
+        for i, v in zip(missing, known):
+            found[i] = v
+        if len(self.new) + len(wanted) > MEMO_CHUNKS:
             self.old, self.new = self.new, {}
-        self.new.update((c, v) for c, v in extra.items() if len(c) <= MEMO_CHUNK_BYTES)
+        self.new.update(zip(wanted, known))
+        for c in unknown:
+            if len(c) > MEMO_CHUNK_BYTES:
+                del self.new[c]
         return found
 
 
