@@ -40,7 +40,7 @@ from panelcast.llm.components import components
 WORDS, PERCENT = 5, 80
 #: Hash slots of the shingle order: a fixed table of counts.
 SLOT_BITS, BLOCK_SLOTS = 18, 4096
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 #: Bits of the table that marks documents whose sets are needed.
 MARK_BITS = 2 ** 22
 

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Chunks a memo generation holds, and the longest chunk that is kept.
-MEMO_CHUNKS = 700_000
+MEMO_CHUNKS = 500_000
 MEMO_CHUNK_BYTES = 256
 #: Pieces in one call of the library.
 CALL_PIECES = 5000
