@@ -356,8 +356,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          .select("id", "a", "size", "gid"), "groups")
     buckets = (prefixes.join(grouped.where("id = gid").select("id"), "id", "left_semi")
                .select(F.col("id").alias("gid"), "size", F.posexplode("prefix").alias("place", "token")))
-    buckets = work.table(buckets.repartitionByRange("token", "place", "gid")
-                         .sortWithinPartitions("token", "place", "size", "gid"), "buckets")
+    # Read straight from the exchange, where a task is one sorted run: files read back are
+    # packed several to a task, by size, and a bucket cut at a file's end would be missed.
+    buckets = buckets.repartitionByRange("token", "place", "gid").sortWithinPartitions("token", "place", "size", "gid")
 
     # First round: against the first member of each bucket, and of each group.
     stars = work.table(star_pairs(buckets, percent), "stars")

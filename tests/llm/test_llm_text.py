@@ -267,6 +267,23 @@ def test_chain_of_copies_across_cut_buckets(spark):
     assert {r.id: (r.n_shingles, r.component_id) for r in got} == components_by_hand(rows)
 
 
+def test_pairs_whose_only_bucket_is_cut(spark):
+    """Pairs that share one prefix shingle, dealt over more partitions than there are cores."""
+    rows = []
+    for k in range(400):
+        words = [f"p{k}w{i}" for i in range(9)]
+        rows += [(2 * k, " ".join(words[:8])), (2 * k + 1, " ".join(words))]
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = ngram_join.near_duplicates(docs_frame(spark, rows)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
+    assert {r.id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_repeated_ids_nulls_and_empty_tables(spark):
     text = "one two three four five six seven eight"
     rows = [(1, text), (1, text), (2, text + " "), (None, text), (3, "other words here"), (3, "yet another row of the id")]
