@@ -13,8 +13,8 @@
 No bucket of a shingle emits all its pairs. First every member is verified
 against one member of its bucket (the one where the shingle stands first), and
 groups against their first class. Verified links give components; only pairs
-of *different* components that still share buckets, and enough of their prefixes
-for the similarity, are verified afterwards, so every link between two texts is
+of *different* components that still share buckets (a group of three or more is one),
+and enough of their prefixes for the similarity, are verified afterwards, so every link between two texts is
 either verified or inside a component. Buckets
 are range-partitioned by (shingle, place), so that a hot shingle is cut into
 several tasks, whose first members are then paired.
@@ -372,7 +372,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Second round: pairs of different components that share a bucket, members expanded.
     # Buckets with the same members count as one, each member at its first place in them.
-    members = (stars.where("kind > 0").select("token", F.col("u").alias("gid"), "place", "size").distinct()
+    # A group of three or more classes is a bucket of its own, whether or not it meets another.
+    own = (grouped.groupBy("gid").agg(F.count("*").alias("n"), F.first("size").cast("long").alias("size")).where("n > 2")
+           .select(F.col("gid").alias("token"), "gid", F.lit(0).cast("long").alias("place"), "size"))
+    members = (stars.where("kind > 0").select("token", F.col("u").alias("gid"), "place", "size").distinct().unionByName(own)
                .join(grouped.select("gid", "id"), "gid").join(part, "id", "left")
                .select("token", "place", "size", "id", F.coalesce("component", "id").alias("comp")))
     members = work.table(members, "members")

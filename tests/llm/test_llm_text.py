@@ -284,6 +284,27 @@ def test_pairs_whose_only_bucket_is_cut(spark):
     assert {r.id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
 
 
+def trio_of_a_group(seed, percent=80):
+    """Three texts of nine shingles and one prefix: the first is linked to neither of the others."""
+    for k in range(seed * 10000, seed * 10000 + 10000):
+        words = [f"k{k}w{i}" for i in range(13)]
+        texts = [" ".join(words[:13 - n] + [f"k{k}{c}{i}" for i in range(n)]) for n, c in ((2, "a"), (0, "b"), (1, "c"))]
+        order = np.zeros(1 << ngram_join.SLOT_BITS, np.int64)
+        sets = ngram_join.shingle_sets([t.encode() for t in texts])
+        if len({ngram_join.prefix(h, order, percent).tobytes() for h in sets}) == 1:
+            return texts
+    raise AssertionError("no such trio")
+
+
+def test_links_inside_a_group_that_meets_no_other(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "slot_order", lambda rows: np.zeros(1 << ngram_join.SLOT_BITS, np.int64))
+    rows = [(10 * s + i, t) for s in range(6) for i, t in enumerate(trio_of_a_group(s))]
+    got = ngram_join.near_duplicates(docs_frame(spark, rows)).collect()
+    by_hand = components_by_hand(rows)
+    assert [by_hand[i][1] for i in (0, 1, 2)] == [0, 1, 1]
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == by_hand
+
+
 def test_repeated_ids_nulls_and_empty_tables(spark):
     text = "one two three four five six seven eight"
     rows = [(1, text), (1, text), (2, text + " "), (None, text), (3, "other words here"), (3, "yet another row of the id")]
