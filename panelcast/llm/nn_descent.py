@@ -9,7 +9,9 @@ neighbours of neighbours, of which the edges above a threshold are kept.
    change.
 4. A list that is full of edges above the threshold is saturated: the lists of a
    group of three or more (a component of the edges found) are enlarged to all
-   its members, compared block by block; only counts leave a block.
+   its members, compared block by block; only counts leave a block. Before that, groups
+   of one label that hold saturated lists are compared with each other and joined where
+   they have a link.
 5. Audit: the links of a bounded set of vectors are counted against all rows of
    their label; below TARGET_RECALL the search is repeated with more orders and
    longer lists.
@@ -209,6 +211,66 @@ def group_links(groups: DataFrame, vectors: DataFrame, threshold: float) -> Data
     return cells.groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def across_links(groups: DataFrame, lists: DataFrame, vectors: DataFrame, threshold: float, work: Work, name: str) -> DataFrame:
+    """(u, v): ids of two groups of one label with a link between them, for all groups that
+    hold a saturated list. Each group is a ball (a member and the widest angle to it); groups
+    whose balls stand further apart than the threshold have no link, the others are compared
+    block by block."""
+    full = lists.where(F.col("kth") >= threshold).select(F.col("u").alias("id")).distinct()
+    chosen = groups.join(full, "id", "left_semi").select("component").distinct()
+    rows = work.table(groups.join(chosen, "component", "left_semi").join(vectors.select("id", "label", "vec"), "id"), f"{name}-full")
+    centres = rows.where("id = component").select("component", "label", F.col("vec").alias("centre"))
+
+    def angles(batches):
+        import pyarrow as pa
+
+        from panelcast.llm import nn_descent as N
+        for batch in batches:
+            cos = (N._vectors(batch.column(1)) * N._vectors(batch.column(2))).sum(axis=1) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.arccos(np.clip(cos, -1, 1)))], ["component", "angle"])
+
+    radii = (rows.join(centres.drop("label"), "component").select("component", "vec", "centre")
+             .mapInArrow(angles, "component long, angle double").groupBy("component").agg(F.max("angle").alias("radius")))
+    balls = work.table(centres.join(radii, "component"), f"{name}-balls")
+
+    def near(batches):
+        import pyarrow as pa
+
+        from panelcast.llm import nn_descent as N
+        reach = np.arccos(threshold) + 1e-6
+        for batch in batches:
+            cos = (N._vectors(batch.column(2)) * N._vectors(batch.column(3))).sum(axis=1) if batch.num_rows else np.zeros(0)
+            apart = np.arccos(np.clip(cos, -1, 1)) - batch.column(4).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array(apart <= reach))
+
+    x, y = balls.alias("x"), balls.alias("y")
+    both = x.join(y, (F.col("x.label") == F.col("y.label")) & (F.col("x.component") < F.col("y.component"))).select(
+        F.col("x.component").alias("g"), F.col("y.component").alias("h"), F.col("x.centre").alias("c"), F.col("y.centre").alias("d"),
+        (F.col("x.radius") + F.col("y.radius")).alias("wide"))
+    close = work.table(both.mapInArrow(near, "g long, h long"), f"{name}-close")
+
+    sizes = rows.groupBy("component").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    placed = rows.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    g, h = (sizes.select(F.col("component").alias(c), F.col("blocks").alias(f"{c}_blocks")) for c in "gh")
+    cells = close.join(g, "g").join(h, "h")
+    left = (cells.join(placed.select(F.col("component").alias("g"), F.col("block").alias("a"), "id", "vec"), "g")
+            .select("g", "h", "a", F.explode(F.sequence(F.lit(0), F.col("h_blocks") - 1)).alias("b"), F.lit(0).alias("side"), "id", "vec"))
+    right = (cells.join(placed.select(F.col("component").alias("h"), F.col("block").alias("b"), "id", "vec"), "h")
+             .select("g", "h", F.explode(F.sequence(F.lit(0), F.col("g_blocks") - 1)).alias("a"), "b", F.lit(1).alias("side"), "id", "vec"))
+
+    def compare(table):
+        import pyarrow as pa
+
+        from panelcast.llm import nn_descent as N
+        side, ids = table.column("side").to_numpy(), table.column("id").to_numpy()
+        x = N._vectors(table.column("vec").combine_chunks())
+        l, r = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        i, j = np.nonzero(x[l] @ x[r].T >= threshold)
+        return pa.table({"u": pa.array(ids[l][i[:1]], pa.int64()), "v": pa.array(ids[r][j[:1]], pa.int64())})
+
+    return left.unionByName(right).groupBy("g", "h", "a", "b").applyInArrow(compare, "u long, v long")
+
+
 def audit(vectors: DataFrame, counted: DataFrame, threshold: float, n_audit: int = AUDIT_VECTORS) -> float:
     """Share of the true links of at most ``n_audit`` vectors (smallest hash of their
     id) that were counted: each is compared with all rows of its label, in blocks."""
@@ -242,6 +304,9 @@ def _searched(vectors: DataFrame, work: Work, threshold: float, attempt: int) ->
     lists = neighbour_lists(vectors, work, NEIGHBOURS * grow, TABLES * grow, name, seed=attempt)
     edges = lists.where(F.col("cos") >= threshold).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     groups = work.table(components(edges, work, f"{name}-cc"), f"{name}-groups")
+    # A saturated list holds no farther links: those between groups are looked for among all members.
+    across = work.table(across_links(groups, lists, vectors, threshold, work, name), f"{name}-across")
+    groups = work.table(components(edges.unionByName(across), work, f"{name}-cc-2"), f"{name}-groups-2")
     large = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 2").select("component")
     inside = group_links(groups.join(large, "component", "left_semi"), vectors, threshold)
     # The two members of a pair are linked by the edge that made it.

@@ -74,6 +74,20 @@ def test_vector_links_equal_brute_force(spark):
     assert links[1000] >= 50
 
 
+def test_links_between_two_saturated_bunches(spark):
+    """40 vectors at cosine 0.999 inside and 0.985 across: every list is full of its own bunch."""
+    inside, across, dim = 0.999, 0.985, 96
+    rows = []
+    for bunch in range(2):
+        for k in range(40):
+            v = np.zeros(dim)
+            v[0], v[1 + bunch], v[3 + 40 * bunch + k] = np.sqrt(across), np.sqrt(inside - across), np.sqrt(1 - inside)
+            rows.append((40 * bunch + k, v.tolist(), 1))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = nn_descent.near_duplicates(frame).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(79, 0)} and len(got) == 80
+
+
 def test_vector_links_of_repeated_and_missing_ids(spark):
     v = [1.0] * 16
     rows = [(1, v, 0), (1, v, 0), (2, v, 0), (None, v, 0), (3, v, None)]
