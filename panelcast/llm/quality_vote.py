@@ -202,6 +202,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose score reaches the threshold, all columns."""
+    """The documents whose score reaches the threshold, all columns. A model that has
+    learned nothing (no label, or one class only, is known) rejects no document."""
+    if not len(model.vectors):
+        return docs
     scored = score(docs, model, text_col=text_col, extra=tuple(f"`{c}`" for c in docs.columns))
     return scored.where(F.col("_score") >= threshold).select(*[f"`{c}`" for c in docs.columns])

@@ -238,6 +238,13 @@ def test_classifier_without_labels(spark):
     assert quality_vote.score(docs.where("false"), quality_vote.fit(docs.where("false"), none)).collect() == []
 
 
+def test_quality_stage_without_labels_keeps_the_documents(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "Some plain words."), (2, None), (3, "")], "doc_id long, text string")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.quality(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == [1, 2, 3] and got.columns == docs.columns
+
+
 # Pipeline and queries -------------------------------------------------------
 
 def test_pipeline_equals_brute_force(spark):
