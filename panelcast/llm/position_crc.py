@@ -17,7 +17,7 @@ import numpy as np
 
 BLOCK = 256
 #: Span bytes that are looked up at a time.
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 14
 _ALL = 0xFFFFFFFF
 
 
@@ -55,9 +55,14 @@ class SpanCrc:
         lengths = ends - starts
         stops = np.cumsum(lengths)
         offsets = stops - lengths
-        at = np.arange(stops[-1]) - np.repeat(offsets - starts, lengths)
-        places = (np.repeat(ends - 1, lengths) - at) * 256 + data[at]
-        return np.bitwise_xor.reduceat(self.table[places], offsets)
+        # A byte at distance d from its span's end is entry 256 d + byte of the table.
+        at = np.arange(stops[-1])
+        far = np.repeat(stops - 1, lengths)
+        far -= at
+        at -= np.repeat(offsets - starts, lengths)
+        far <<= 8
+        far += data.take(at)
+        return np.bitwise_xor.reduceat(self.table.take(far), offsets)
 
     def _short(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = np.zeros(len(starts), np.uint32)
