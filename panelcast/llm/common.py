@@ -25,9 +25,9 @@ class Work:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         path = self.path(name)
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, **options)
         return self.spark.read.schema(df.schema).parquet(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from panelcast.llm import (q01_url_filter, q02_ngram_join, q03_bpe, q04_vector_dedup, q05_ann, q06_token_files,
                             q07_packing, q08_line_dedup, q09_quality, q10_chat, q11_periodic_runs,
-                            q13_importance)
+                            q12_html, q13_importance)
 
 QUERIES = {
     "op1_url_filter": q01_url_filter.op1_url_filter,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_quality_vote": q09_quality.op9_quality_vote,
     "op10_chat_format": q10_chat.op10_chat_format,
     "op11_periodic_runs": q11_periodic_runs.op11_periodic_runs,
+    "op12_wrapper_induction": q12_html.op12_wrapper_induction,
     "op13_importance_resampling": q13_importance.op13_importance_resampling,
 }
 
