@@ -6,7 +6,9 @@ differences to the minimum, the differences packed at that width, and an
 exception list (position, high bits) for the outliers. An index of block starts
 allows reading a range of ids without decoding the rest. Segments are the rows
 of a Parquet table, which Spark commits and reads in any store, in ascending
-document order: range partitions by id, then rows sorted inside each.
+document order. Texts are encoded where they are scanned; only ids are shuffled,
+to range partitions whose bounds come from the documents' ids and text hashes
+(a repeated id may span several), and sorted inside each.
 
 Segment layout, little-endian: magic 'PFR1'; uint32 documents, block size,
 blocks; uint64 ids; uint32 ids per document; uint64 block starts (from the
@@ -40,18 +42,37 @@ _BLOCK = struct.Struct("<IBH")
 
 
 def _pack_bits(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of unsigned integers packed at ``width`` bits, lowest bit first."""
-    wide = values.astype("<u2" if width <= 16 else "<u4")
-    bits = np.unpackbits(wide.view(np.uint8).reshape(len(wide), -1, wide.itemsize), axis=2, bitorder="little")
-    return np.packbits(bits[:, :, :width].reshape(len(wide), -1), axis=1, bitorder="little")
+    """Rows of unsigned integers packed at ``width`` bits, lowest bit first. 64 values fill
+    ``width`` words of 64 bits; the k-th values of all groups are shifted in together."""
+    rows, n = values.shape
+    lanes = np.zeros((64, rows, -(-n // 64)), np.uint64)
+    for k in range(min(64, n)):
+        own = values[:, k::64]
+        lanes[k, :, :own.shape[1]] = own
+    words = np.zeros((width, *lanes.shape[1:]), np.uint64)
+    for k in range(64):
+        word, shift = divmod(k * width, 64)
+        words[word] |= lanes[k] << np.uint64(shift)
+        if shift + width > 64:
+            words[word + 1] |= lanes[k] >> np.uint64(64 - shift)
+    packed = np.ascontiguousarray(words.transpose(1, 2, 0)).astype("<u8", copy=False)
+    return packed.reshape(rows, -1).view(np.uint8)[:, :(n * width + 7) // 8]
 
 
 def _unpack_bits(packed: np.ndarray, width: int, n: int) -> np.ndarray:
-    size = 2 if width <= 16 else 4
-    bits = np.unpackbits(packed, axis=1, count=n * width, bitorder="little").reshape(len(packed), n, width)
-    full = np.zeros((len(packed), n, 8 * size), np.uint8)
-    full[:, :, :width] = bits
-    return np.packbits(full, axis=2, bitorder="little").reshape(len(packed), -1).view(f"<u{size}").astype(np.uint32)
+    rows, groups = len(packed), -(-n // 64)
+    full = np.zeros((rows, groups * width * 8), np.uint8)
+    full[:, :packed.shape[1]] = packed
+    words = np.ascontiguousarray(full.view("<u8").reshape(rows, groups, width).transpose(2, 0, 1))
+    mask = np.uint64((1 << width) - 1)
+    out = np.zeros((rows, groups, 64), np.uint32)
+    for k in range(64):
+        word, shift = divmod(k * width, 64)
+        lane = words[word] >> np.uint64(shift)
+        if shift + width > 64:
+            lane |= words[word + 1] << np.uint64(64 - shift)
+        out[:, :, k] = lane & mask
+    return out.reshape(rows, -1)[:, :n]
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS, percentile: float = WIDTH_PERCENTILE) -> list[bytes]:
@@ -126,45 +147,86 @@ class Segment:
         return self.blocks(first, last)[start - first * self.block:stop - first * self.block]
 
 
+def range_bounds(keys: DataFrame) -> list[tuple]:
+    """Upper ends (id, text hash) of balanced ranges of ``keys``, but for the last range;
+    as many as shuffle partitions."""
+    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = keys.repartitionByRange(n, "id", "hash").groupBy(F.spark_partition_id().alias("part"))
+    ends = ranges.agg(F.max(F.struct("id", "hash")).alias("end")).collect()
+    return sorted((_order(r.end.id, r.end.hash) for r in ends))[:-1]
+
+
+def _order(key, text_hash: int) -> tuple:
+    """Sort key of a row: null ids first."""
+    return (key is not None, *(() if key is None else (key,)), text_hash)
+
+
+def encode_ranges(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """(part, id, hash, ids): the ids of every document with the end id, as little-endian
+    integers of the vocabulary's width, and its range partition."""
+    def run(batches):
+        from bisect import bisect_left
+
+        import pyarrow as pa
+
+        from panelcast.llm.pfor import _order
+        from panelcast.llm.tokens import as_bytes, encoder, small_batches
+        enc = encoder(path)
+        end = np.array([end_id], enc.dtype).tobytes()
+        for batch in small_batches(batches):
+            keys = map(_order, batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            ids = [e.tobytes() + end for e in enc.encode(as_bytes(batch.column(2)))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bisect_left(bounds, k) for k in keys], pa.int32()), *batch.columns[:2], pa.array(ids, pa.binary())],
+                ["part", "id", "hash", "ids"])
+
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = source.select("id", F.xxhash64("text").alias("hash"), "text")
+    bounds = range_bounds(source.select("id", "hash"))
+    kind = source.schema["id"].dataType.simpleString()
+    encoded = source.mapInArrow(run, f"part int, id {kind}, hash long, ids binary")
+    return encoded.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "id", "hash")
+
+
 def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id",
                  text_col: str = "text") -> None:
     """Write the ids of all documents to ``folder`` in ascending id order: rows
     (part, part_start, doc_ids, n_ids, segment)."""
+    from panelcast.llm.tokens import encoder
+    width = encoder(path).dtype.itemsize
+
     def run(batches):
         import pyarrow as pa
-        from pyspark import TaskContext
 
         from panelcast.llm.pfor import SEGMENT_IDS, write_segment
-        from panelcast.llm.tokens import as_bytes, encoder, small_batches
-        part, enc, at = TaskContext.get().partitionId(), encoder(path), 0
-        end = np.array([end_id], enc.dtype)
+        from panelcast.llm.tokens import small_batches
 
-        def segment(keys, held):
+        def segment():
             size = sum(map(len, held))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int64()), pa.array([at], pa.int64()), pa.array([keys], pa.list_(kind)),
                  pa.array([size], pa.int64()), pa.array([write_segment(held)], pa.binary())],
                 ["part", "part_start", "doc_ids", "n_ids", "segment"])
 
-        keys, held, size, kind = [], [], 0, None
+        part, at, keys, held, size, kind = None, 0, [], [], 0, None
         for batch in small_batches(batches):
-            kind = batch.column(0).type
-            for key, e in zip(batch.column(0).to_pylist(), enc.encode(as_bytes(batch.column(1)))):
-                ids = np.concatenate([e, end])
-                if held and size + len(ids) > SEGMENT_IDS:
-                    yield segment(keys, held)
+            kind = batch.column(1).type
+            for own, key, data in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3))):
+                ids = np.frombuffer(data, f"<u{width}")
+                if held and (own != part or size + len(ids) > SEGMENT_IDS):
+                    yield segment()
                     at, keys, held, size = at + size, [], [], 0
+                if own != part:
+                    part, at = own, 0
                 keys.append(key)
                 held.append(ids)
                 size += len(ids)
         if held:
-            yield segment(keys, held)
+            yield segment()
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    # Range partitions ascend by id; the sort inside each also fixes repeated ids.
-    ordered = source.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
-    (ordered.mapInArrow(run, f"part long, part_start long, doc_ids array<{kind}>, n_ids long, segment binary")
+    encoded = encode_ranges(docs, path, end_id, id_col, text_col)
+    kind = encoded.schema["id"].dataType.simpleString()
+    (encoded.mapInArrow(run, f"part long, part_start long, doc_ids array<{kind}>, n_ids long, segment binary")
      .write.mode("overwrite").parquet(folder))
 
 

@@ -24,13 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Chunks a memo generation holds, and the longest chunk that is kept.
+#: Chunks and bytes (with ENTRY_BYTES for a chunk's objects) that a memo generation
+#: holds, and the longest chunk that is kept.
 MEMO_CHUNKS = 500_000
+MEMO_BYTES, ENTRY_BYTES = 24_000_000, 180
 MEMO_CHUNK_BYTES = 256
 #: Pieces in one call of the library.
 CALL_PIECES = 5000
-#: Text bytes that are handled at a time; longer texts are cut at white space.
-SLICE_BYTES = 1_500_000
+#: Text bytes that are handled at a time (some ten 8-byte arrays a byte); longer texts
+#: are cut at white space and other edges of words.
+SLICE_BYTES = 400_000
+#: Bytes of text that a task holds beside the slice it works on.
+BATCH_BYTES = 4_000_000
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 SPACE_BYTES = b" \t\n\x0b\f\r"
 #: The pattern of the vocabulary file (fixed), and what it means for folded ASCII;
@@ -89,7 +94,7 @@ class Memo:
     """key -> value, two generations: the old one is dropped when the new is full."""
 
     def __init__(self, fill):
-        self.fill, self.new, self.old = fill, {}, {}
+        self.fill, self.new, self.old, self.size = fill, {}, {}, 0
 
     def values(self, keys: list[bytes]) -> list[bytes]:
         """The values of distinct keys."""
@@ -104,12 +109,12 @@ class Memo:
         known = [next(filled) if v is None else v for v in known]
         for i, v in zip(missing, known):
             found[i] = v
-        if len(self.new) + len(wanted) > MEMO_CHUNKS:
-            self.old, self.new = self.new, {}
-        self.new.update(zip(wanted, known))
-        for c in unknown:
-            if len(c) > MEMO_CHUNK_BYTES:
-                del self.new[c]
+        kept = [(c, v) for c, v in zip(wanted, known) if len(c) <= MEMO_CHUNK_BYTES]
+        size = sum(len(c) + len(v) + ENTRY_BYTES for c, v in kept)
+        if len(self.new) + len(kept) > MEMO_CHUNKS or self.size + size > MEMO_BYTES:
+            self.old, self.new, self.size = self.new, {}, 0
+        self.new.update(kept)
+        self.size += size
         return found
 
 
@@ -299,12 +304,23 @@ class Encoder:
         stops = np.concatenate([[0], np.cumsum(own)])[chunk_ends].tolist()
         return [stream[i:j] for i, j in zip([0, *stops], stops)]
 
+    def _edge_near(self, text: bytes, at: int) -> int:
+        """The last edge of a word in the slice from ``at``; the next one after it if there is none."""
+        while at < len(text):
+            # Two bytes stand on both sides of an edge, so windows overlap by one.
+            window = np.frombuffer(text[at:at + SLICE_BYTES + 1].lower() if self.folds else text[at:at + SLICE_BYTES + 1], np.uint8)
+            if at + len(window) == len(text):
+                return len(text)
+            found = np.flatnonzero(self.space[window[1:]] | self.word_edge[window[:-1], window[1:]])
+            if len(found):
+                return at + int(found[-1]) + 1
+            at += SLICE_BYTES
+        return len(text)
+
     def _long(self, text: bytes) -> np.ndarray:
         parts, at = [], 0
         while at < len(text):
-            end = at + SLICE_BYTES
-            while end < len(text) and text[end] not in SPACE_BYTES:
-                end += 1
+            end = self._edge_near(text, at)
             parts.append(self._encode_slice([text[at:end]])[0])
             at = end
         return np.concatenate(parts)
@@ -347,10 +363,28 @@ def encoder(path: str) -> Encoder:
 
 
 def small_batches(batches: Iterator, rows: int = 1000) -> Iterator:
-    """The record batches in parts of so many rows, to bound what a task holds."""
+    """The record batches in parts of at most so many rows and BATCH_BYTES of strings and
+    binaries (a longer row is a part alone), to bound what a task holds."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def wide(kind):
+        return (pa.types.is_string(kind) or pa.types.is_large_string(kind)
+                or pa.types.is_binary(kind) or pa.types.is_large_binary(kind))
+
     for batch in batches:
-        for i in range(0, batch.num_rows, rows):
-            yield batch.slice(i, rows)
+        size = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if wide(column.type):
+                size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        first, held = 0, 0
+        for i, n in enumerate(size.tolist()):
+            if i > first and (i - first >= rows or held + n > BATCH_BYTES):
+                yield batch.slice(first, i - first)
+                first, held = i, 0
+            held += n
+        if first < batch.num_rows:
+            yield batch.slice(first)
 
 
 def as_bytes(column) -> list[bytes | None]:
