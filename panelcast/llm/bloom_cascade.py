@@ -8,8 +8,9 @@ rejects it has an even number, or if it passes all of an odd number of levels.
 The universe is every key of the whole corpus, so no answer is wrong, and the
 filters are small arrays that travel with the plan: judging takes no join.
 
-The bits are arrays of 64-bit words: at most MAX_BITS bits in a level, checked.
-Above that size the keys are listed by a left semi join instead.
+The bits are arrays of 64-bit words: at most MAX_BITS bits in a level, checked. A
+list of hosts above that size is looked up by a left semi join of the distinct
+hosts of the corpus instead, which gives the same answers.
 
 Rules: a rule (host, path) fits a url whose host is the rule's or a subdomain,
 and whose path starts with the rule's; the longest rule string wins. The
@@ -28,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import Work, lower_ascii
+from panelcast.llm.common import Work, lower_ascii, packed, unpacked
 
 #: Bits a key in a level, hashes a key, and the most bits of a level (32 MB).
 KEY_BITS, HASHES, MAX_BITS = 12, 6, 2 ** 28
@@ -130,7 +131,7 @@ class Cascade:
     def has(self, key: Column, name: str) -> Column:
         """Membership of a key of the universe, by the filters attached under ``name``."""
         if self.joined is not None:
-            raise ValueError(f"more than {MAX_BITS // KEY_BITS} listed keys: join the list instead")
+            raise ValueError(f"more than {MAX_BITS // KEY_BITS} listed keys: look them up by members()")
         answer = F.lit(len(self.levels) % 2 == 1)
         for level in reversed(self.levels):
             passed = level.has(key, F.col(f"{name}_{level.number}"))
@@ -138,6 +139,11 @@ class Cascade:
         return answer
 
 
+    def members(self, candidates: DataFrame) -> DataFrame:
+        """The rows (host, key) of ``candidates`` whose key is listed, for lists above MAX_BITS."""
+        return candidates.join(self.joined, "key", "left_semi")
+
+
 class Rules:
     """(action, host, path) rules judged by one cascade per action."""
 
@@ -164,6 +170,8 @@ class Rules:
             return F.transform(F.filter(self.candidates(host, path), lambda k: cascade.has(k, f"_{action}")), lambda k: F.struct(
                 F.char_length(k).alias("size"), k.alias("key"), F.lit(action).alias("action")))
 
+        if not self.cascades:
+            return F.lit(None).cast("struct<size:int,key:string,action:string>")
         return F.array_max(F.concat(*[fitting(a, c) for a, c in self.cascades.items()]))
 
 
@@ -178,12 +186,16 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed_h
     labels = listed_hosts.agg(F.max(F.size(F.split("key", r"\.", -1)))).first()[0] or 1
     hosts = keys.select(F.explode(host_suffixes(F.col("host"), labels)).alias("key"))
     listed = Cascade(listed_hosts, hosts, Work(spark, "url-hosts"))
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    parts = pages.select(*kept, host.alias("host"), path.alias("path"))
+    rows = pages.select(packed(pages), host.alias("host"), path.alias("path"))
+    if listed.joined is None:
+        own = F.exists(host_suffixes(F.col("host"), labels), lambda k: listed.has(k, "listed"))
+    else:
+        each = rows.select("host").distinct().select("host", F.explode(host_suffixes(F.col("host"), labels)).alias("key"))
+        hit = listed.members(each).select("host").distinct().withColumn("hit", F.lit(True))
+        rows, own = rows.join(hit, "host", "left"), F.coalesce("hit", F.lit(False))
     # A url has few candidates; the filters are constant columns beside them.
-    found = parts.select("*", *judged.attached(), *listed.attached("_listed"))
+    found = rows.select("*", *judged.attached(), *listed.attached("listed"))
     best = judged.best(F.col("host"), F.col("path"))
-    own = F.exists(host_suffixes(F.col("host"), labels), lambda k: listed.has(k, "_listed"))
-    result = found.select(*kept, "host", "path", best.alias("_best"), own.alias("_own"))
-    verdict = F.coalesce(F.col("_best.action"), F.when(F.col("_own"), F.lit("block")).otherwise(F.lit("allow")))
-    return result.select(*kept, "host", "path", F.col("_best.key").alias("rule"), verdict.alias("verdict"))
+    verdict = F.coalesce(F.col("best.action"), F.when(F.col("own"), F.lit("block")).otherwise(F.lit("allow")))
+    result = found.select("row", "host", "path", best.alias("best"), own.alias("own"))
+    return result.select(*unpacked(pages.drop("host", "path", "rule", "verdict")), "host", "path", F.col("best.key").alias("rule"), verdict.alias("verdict"))

@@ -40,3 +40,20 @@ def lower_ascii(c: Column) -> Column:
     all ASCII, as it is much faster than ``translate``)."""
     return (F.when(F.octet_length(c) == F.char_length(c), F.lower(c))
             .otherwise(F.translate(c, _UPPER, _UPPER.lower())))
+
+
+def named(c: str) -> Column:
+    """The column of this very name, whatever characters it has."""
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
+def packed(df: DataFrame, *apart: str) -> Column:
+    """All columns but those named, as one struct ``row``: beside it an operator may use
+    any column name, as none of the caller's can clash."""
+    kept = [named(c) for c in df.columns if c not in apart]
+    return F.struct(*(kept or [F.lit(0).alias("none")])).alias("row")
+
+
+def unpacked(df: DataFrame, **apart: Column) -> list[Column]:
+    """The columns of ``df`` in their order, from ``row`` and the given columns."""
+    return [(apart[c] if c in apart else F.col("row").getField(c)).alias(c) for c in df.columns]

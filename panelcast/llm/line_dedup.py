@@ -1,8 +1,9 @@
 """Line de-duplication over a corpus, with DataFrame functions only.
 
 Method: lines become 128-bit key hashes; hashes are range-partitioned and
-sorted inside each partition by hash, document (largest first) and position,
-so that the first document of a hash in the stream is the one that keeps it.
+sorted inside each partition by hash and document (largest first), so that the
+first document of a hash in the stream is the one that keeps all its lines (the
+order of positions inside a document decides nothing).
 The result is a compressed keep bitmap per document, not text: one 64-bit
 word per 64 lines, and only the words in which a line is dropped.
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import SPACE, Work, lower_ascii
+from panelcast.llm.common import SPACE, Work, lower_ascii, named, packed, unpacked
 
 HEAVY_SLOTS = 65536
 #: Groups up to this size are sorted like any other, however small the corpus.
@@ -115,19 +116,18 @@ def kept_lines(lines: Column, keep: Column) -> Column:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with the kept text in ``text_col``, plus
-    ``_n_lines`` and ``_n_dropped``. Null text stays null."""
-    b = bitmaps.select(F.col("doc").alias("_doc"), F.col("row_hash").alias("_row_hash"),
-                       F.col("n_dropped").alias("_n_dropped"), F.col("keep").alias("_keep"))
-    text = docs[text_col]
+    """(row, text, n_lines, n_dropped) of every document: ``row`` holds its other columns,
+    ``text`` the kept lines. Null text stays null."""
+    rows = docs.select(packed(docs, text_col), named(text_col).alias("text"))
+    b = bitmaps.select(F.col("doc").alias("map_doc"), F.col("row_hash").alias("map_hash"),
+                       F.col("n_dropped").alias("map_dropped"), "keep")
     # The bitmaps are hashed, the wide text rows stream past without a sort.
-    joined = docs.join(b.hint("shuffle_hash"),
-                       docs[id_col].eqNullSafe(b["_doc"]) & (_row_hash(text) == b["_row_hash"]), "left")
-    kept = F.when(F.col("_keep").isNull(), text).otherwise(
-        F.array_join(kept_lines(split_lines(text), F.col("_keep")), "\n"))
-    cols = [kept.alias(c) if c == text_col else docs[c] for c in docs.columns]
-    return joined.select(*cols, F.size(split_lines(text)).cast("long").alias("_n_lines"),
-                         F.coalesce("_n_dropped", F.lit(0)).cast("long").alias("_n_dropped"))
+    joined = rows.join(b.hint("shuffle_hash"), F.col("row").getField(id_col).eqNullSafe(F.col("map_doc"))
+                       & (_row_hash(F.col("text")) == F.col("map_hash")), "left")
+    lines = split_lines(F.col("text"))
+    kept = F.when(F.col("keep").isNull(), F.col("text")).otherwise(F.array_join(kept_lines(lines, F.col("keep")), "\n"))
+    return joined.select("row", kept.alias("text"), F.size(lines).cast("long").alias("n_lines"),
+                         F.coalesce("map_dropped", F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
@@ -136,7 +136,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named, is set to the code points of the new text where lines were dropped."""
     maps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs)
     out = apply_bitmaps(docs, maps, id_col, text_col)
+    new = {text_col: F.col("text")}
     if length_col in docs.columns:
-        size = F.char_length(text_col).cast(docs.schema[length_col].dataType)
-        out = out.withColumn(length_col, F.when(F.col("_n_dropped") > 0, size).otherwise(F.col(length_col)))
-    return out.select(*docs.columns)
+        size = F.char_length("text").cast(docs.schema[length_col].dataType)
+        new[length_col] = F.when(F.col("n_dropped") > 0, size).otherwise(F.col("row").getField(length_col))
+    return out.select(*unpacked(docs, **new))

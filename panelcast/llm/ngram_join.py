@@ -421,6 +421,6 @@ def _verify(pairs: DataFrame, source: DataFrame, heads: DataFrame, n: int, perce
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component stays, the one with the smallest id; all columns.
     Rows with a null id stay."""
-    kept = near_duplicates(docs, id_col, text_col).where("id = component_id").select(F.col("id").alias("_kept_id")).distinct()
-    joined = docs.join(kept, docs[id_col] == kept["_kept_id"], "left")
-    return joined.where(F.col("_kept_id").isNotNull() | docs[id_col].isNull()).select(*[docs[c] for c in docs.columns])
+    kept = near_duplicates(docs, id_col, text_col).where("id = component_id").select(F.col("id").alias("kept_id"))
+    inside = docs.join(kept, docs[id_col] == kept["kept_id"], "left_semi")
+    return inside.unionByName(docs.where(docs[id_col].isNull()))

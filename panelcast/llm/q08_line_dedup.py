@@ -33,5 +33,4 @@ FROM marked GROUP BY doc_id
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = apply_bitmaps(docs, keep_bitmaps(docs))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -22,12 +22,14 @@ left out of ``score`` and kept by ``keep_good``.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from panelcast.llm.common import named, packed, unpacked
 
 MAX_PER_CLASS = 2000
 TERMS = 2048
@@ -158,10 +160,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         chosen = own if chosen is None else chosen.unionByName(own)
     # At most 2 * per_class ids.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select(F.struct("id", "label").alias("key"), "text")
-    found = {}
-    for r in count_column(rows, "key", "text", terms).collect():
-        found[(r["id"]["id"], zlib.crc32(r["counts"]))] = (r["id"]["label"], np.frombuffer(r["counts"], np.float32))
+    # One row per chosen id, however often the id is repeated: the one with the smallest hash.
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = rows.select(F.struct("id", "label").alias("key"), "text")
+    found = {r["id"]["id"]: (r["id"]["label"], np.frombuffer(r["counts"], np.float32))
+             for r in count_column(rows, "key", "text", terms).collect()}
     fitted = [found[k] for k in sorted(found)]
     y = np.array([f[0] for f in fitted], np.float64)
     counts = np.stack([f[1] for f in fitted]).astype(np.float64)
@@ -178,9 +181,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
-    """(id, score) of every document, or (*columns named in ``extra``, score)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _scored(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows``, whose first column is ``text``, with the column ``score`` behind."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa
@@ -193,12 +196,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             for i in range(0, len(texts), 256):
                 out.append(m.score(np.stack([term_counts(t or b"", m.terms) for t in texts[i:i + 256]])))
             scores = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
+
+    names = [*rows.columns, "score"]
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())]))
+
 
-    source = docs.select(F.col(text_col).cast("string").alias("_text"), *(extra or (F.col(id_col).alias("id"),)))
-    names = [*source.columns[1:], "_score" if extra else "score"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
-    return source.mapInArrow(run, f"{schema}, {names[-1]} double")
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score) of every document."""
+    rows = docs.select(named(text_col).cast("string").alias("text"), named(id_col).alias("id"))
+    return _scored(rows, model).select("id", "score")
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -206,5 +213,6 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     learned nothing (no label, or one class only, is known) rejects no document."""
     if not len(model.vectors):
         return docs
-    scored = score(docs, model, text_col=text_col, extra=tuple(f"`{c}`" for c in docs.columns))
-    return scored.where(F.col("_score") >= threshold).select(*[f"`{c}`" for c in docs.columns])
+    rows = docs.select(named(text_col).cast("string").alias("text"), packed(docs, text_col))
+    text = F.col("text").cast(docs.schema[text_col].dataType)
+    return _scored(rows, model).where(F.col("score") >= threshold).select(*unpacked(docs, **{text_col: text}))
