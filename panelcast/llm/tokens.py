@@ -27,7 +27,7 @@ import numpy as np
 #: Chunks and bytes (with ENTRY_BYTES for a chunk's objects) that a memo generation
 #: holds, and the longest chunk that is kept.
 MEMO_CHUNKS = 500_000
-MEMO_BYTES, ENTRY_BYTES = 24_000_000, 180
+MEMO_BYTES, ENTRY_BYTES = 96_000_000, 180
 MEMO_CHUNK_BYTES = 256
 #: Pieces in one call of the library.
 CALL_PIECES = 5000
@@ -109,12 +109,14 @@ class Memo:
         known = [next(filled) if v is None else v for v in known]
         for i, v in zip(missing, known):
             found[i] = v
-        kept = [(c, v) for c, v in zip(wanted, known) if len(c) <= MEMO_CHUNK_BYTES]
-        size = sum(len(c) + len(v) + ENTRY_BYTES for c, v in kept)
-        if len(self.new) + len(kept) > MEMO_CHUNKS or self.size + size > MEMO_BYTES:
+        size = ENTRY_BYTES * len(wanted) + sum(map(len, wanted)) + sum(map(len, known))
+        if len(self.new) + len(wanted) > MEMO_CHUNKS or self.size + size > MEMO_BYTES:
             self.old, self.new, self.size = self.new, {}, 0
-        self.new.update(kept)
+        self.new.update(zip(wanted, known))
         self.size += size
+        for c in unknown:
+            if len(c) > MEMO_CHUNK_BYTES:
+                del self.new[c]
         return found
 
 
