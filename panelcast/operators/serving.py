@@ -56,6 +56,29 @@ def request_summary(events: DataFrame, window_seconds: int = 900, ts: str = "ts"
         (F.bround(F.col("_sum_h") / F.col("requests_total"), 0) / 100.0).alias("latency_avg_ms"), "latency_max_ms")
 
 
+def summary_of_counts(counts: DataFrame, window_seconds: int = 900) -> DataFrame:
+    """AGG-23 from counts (window_start, status_code, path, latency_ms, n) of closed windows,
+    as a stream writes them: the same columns as ``request_summary``."""
+    ok = (F.col("status_code") >= 200) & (F.col("status_code") < 300)
+    n = F.col("requests_total")
+    base = counts.groupBy("window_start").agg(
+        F.sum("n").alias("requests_total"), F.coalesce(F.sum(F.when(ok, F.col("n"))), F.lit(0)).alias("success_total"),
+        F.sum(F.round(F.col("latency_ms") * 100).cast("long") * F.col("n")).alias("sum_h"),
+        F.max("latency_ms").alias("latency_max_ms"))
+    values = counts.groupBy("window_start", "latency_ms").agg(F.sum("n").alias("c"))
+    w = Window.partitionBy("window_start").orderBy("latency_ms").rowsBetween(Window.unboundedPreceding, 0)
+    running = values.withColumn("cum", F.sum("c").over(w)).join(base.select("window_start", "requests_total"), "window_start")
+    ranks = running.groupBy("window_start").agg(*[
+        F.min(F.when(F.col("cum") > F.bround((n - 1) * p, 0), F.col("latency_ms"))).alias(f"latency_{name}_ms")
+        for name, p in PERCENTILES.items()])
+    errors = n - F.col("success_total")
+    return base.join(ranks, "window_start").select(
+        "window_start", F.lit(window_seconds).alias("window_seconds"), "requests_total", "success_total",
+        errors.alias("error_total"), F.round(F.col("success_total") / n, 4).alias("success_rate"),
+        F.round(errors / n, 4).alias("error_rate"), *[f"latency_{name}_ms" for name in PERCENTILES],
+        (F.bround(F.col("sum_h") / n, 0) / 100.0).alias("latency_avg_ms"), "latency_max_ms")
+
+
 def request_breakdown(events: DataFrame, window_seconds: int = 900, ts: str = "ts") -> DataFrame:
     """AGG-23 maps: counts by status code and by path per window (bounded
     by the number of distinct codes / tracked paths)."""
