@@ -154,36 +154,58 @@ def slo_breaches(events: DataFrame, path: str = "/predict", window_minutes: int
     sums = into.groupBy("minute").agg(*[F.sum(c).alias(c) for c in cols])
     roll = grid.join(sums, "minute", "left").fillna(0, cols)
     ratio = F.col("e5") / F.greatest(F.col("n"), F.lit(1))
-    # p95 over the cumulative buckets: the first bucket whose count reaches the rank
+    # p95 over the cumulative buckets: inside the first bucket whose count reaches the rank.
+    # The bucket is looked up once per minute; the rules below refer to the columns.
     rank = F.col("n") * 0.95
-    p95 = None
-    for i, x in enumerate(bound_list):
-        cond = F.col(f"b{i}") >= rank
-        if x == float("inf"):
-            val = F.lit(float(bound_list[-2]))
-        else:
-            prev_le = F.lit(float(bound_list[i - 1]) if i > 0 else 0.0)
-            prev_cum = F.col(f"b{i - 1}") if i > 0 else F.lit(0)
-            val = prev_le + (F.lit(float(x)) - prev_le) * (rank - prev_cum) / (F.col(f"b{i}") - prev_cum)
-        p95 = F.when(cond, val) if p95 is None else p95.when(cond, val)
+    counts = F.array(*[F.col(f"b{i}") for i in range(len(bound_list))])
+    at = F.array_position(F.transform(counts, lambda c: c >= rank), True).cast("int")
+    below = F.when(F.col("at") > 1, F.get("counts", F.col("at") - 2)).otherwise(F.lit(0))
+    bounds = F.array(*[F.lit(float(x)) for x in (0.0, *buckets)])
+    low, high = F.get(bounds, F.col("at") - 1), F.get(bounds, F.col("at"))
+    inside = low + (high - low) * (rank - below) / (F.get("counts", F.col("at") - 1) - below)
+    roll = roll.withColumns({"counts": counts, "at": at})
+    p95 = F.when(F.col("at") == len(bound_list), F.lit(float(bound_list[-2]))).otherwise(inside)
+    busy = F.col("n") >= min_requests
+    roll = roll.select("minute", "lo", "n", "e5", ratio.alias("error_ratio"), F.when(F.col("n") > 0, p95).alias("p95_seconds"))
     roll = roll.withColumns({
-        "error_ratio": ratio, "p95_seconds": F.when(F.col("n") > 0, p95),
-        "error_condition": (ratio > error_ratio) & (F.col("n") >= min_requests),
-        "latency_condition": F.coalesce(F.when(F.col("n") > 0, p95) > p95_seconds, F.lit(False)) & (F.col("n") >= min_requests),
-    })
-    # A rule fires when its condition held in all minutes of the hold time (as far as the span goes).
-    held = (roll.where("error_condition OR latency_condition")
-            .select(F.explode(F.sequence(F.col("minute"), F.col("minute") + hold_minutes)).alias("minute"),
-                    F.col("error_condition").cast("int").alias("e"), F.col("latency_condition").cast("int").alias("l"))
-            .groupBy("minute").agg(F.sum("e").alias("e_held"), F.sum("l").alias("l_held")))
-    need = F.least(F.lit(hold_minutes + 1), F.col("minute") - F.col("lo") + 1)
-    out = roll.join(held, "minute", "left").withColumns({
-        "error_firing": F.coalesce("e_held", F.lit(0)) == need,
-        "latency_firing": F.coalesce("l_held", F.lit(0)) == need,
-    })
-    return out.select(F.timestamp_seconds(F.col("minute") * 60).alias("minute"), F.col("n").alias("requests"),
-                      F.col("e5").alias("server_errors"), "error_ratio", "p95_seconds", "error_condition",
-                      "latency_condition", "error_firing", "latency_firing")
+        "error_condition": (F.col("error_ratio") > error_ratio) & busy,
+        "latency_condition": F.coalesce(F.col("p95_seconds") > p95_seconds, F.lit(False)) & busy})
+    # A rule fires when its condition held in all minutes of the hold time (as far as the
+    # span goes): a minute goes to itself, and its conditions to the minutes that look back on it.
+    reach = F.when(F.col("error_condition") | F.col("latency_condition"), F.lit(hold_minutes)).otherwise(F.lit(0))
+    into = roll.withColumn("at", F.explode(F.sequence(F.col("minute"), F.col("minute") + reach)))
+    own = ["lo", "n", "e5", "error_ratio", "p95_seconds", "error_condition", "latency_condition"]
+    held = into.groupBy("at").agg(
+        F.count_if("error_condition").alias("e_held"), F.count_if("latency_condition").alias("l_held"),
+        F.max(F.when(F.col("at") == F.col("minute"), F.struct(*own))).alias("own")).where("own IS NOT NULL")
+    need = F.least(F.lit(hold_minutes + 1), F.col("at") - F.col("own.lo") + 1)
+    return held.select(F.timestamp_seconds(F.col("at") * 60).alias("minute"), F.col("own.n").alias("requests"),
+                       F.col("own.e5").alias("server_errors"), "own.error_ratio", "own.p95_seconds", "own.error_condition",
+                       "own.latency_condition", (F.col("e_held") == need).alias("error_firing"),
+                       (F.col("l_held") == need).alias("latency_firing"))
+
+
+def readiness_breaches(events: DataFrame, path: str = "/health", hold_minutes: int = 2) -> DataFrame:
+    """AGG-25, readiness: per minute of the log, the newest probe's state (0 after a 5xx) and
+    whether the service was not ready, or not probed at all, in that minute and the
+    ``hold_minutes`` before it (as far as the log goes)."""
+    minute = F.floor(F.unix_timestamp("ts") / 60).cast("long")
+    probes = events.filter(F.col("path") == path).groupBy(minute.alias("minute")).agg(
+        F.max(F.struct("ts", F.col("status_code"))).alias("newest"))
+    state = probes.select("minute", (F.col("newest.status_code") < 500).cast("int").alias("ready"))
+    span = events.agg(F.min(minute).alias("lo"), F.max(minute).alias("hi"))
+    days = span.select("lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / 1440), F.floor(F.col("hi") / 1440))).alias("day"))
+    grid = (days.select("lo", "hi", F.explode(F.sequence(F.col("day") * 1440, F.col("day") * 1440 + 1439)).alias("minute"))
+            .where(F.col("minute").between(F.col("lo"), F.col("hi"))).select("minute", "lo"))
+    rows = grid.join(state, "minute", "left").withColumn("condition", F.coalesce(F.col("ready") == 0, F.lit(True)))
+    reach = F.when(F.col("condition"), F.lit(hold_minutes)).otherwise(F.lit(0))
+    into = rows.withColumn("at", F.explode(F.sequence(F.col("minute"), F.col("minute") + reach)))
+    held = into.groupBy("at").agg(
+        F.count_if("condition").alias("held"),
+        F.max(F.when(F.col("at") == F.col("minute"), F.struct("lo", "ready", "condition"))).alias("own")).where("own IS NOT NULL")
+    need = F.least(F.lit(hold_minutes + 1), F.col("at") - F.col("own.lo") + 1)
+    return held.select(F.timestamp_seconds(F.col("at") * 60).alias("minute"), "own.ready", F.col("own.condition"),
+                       (F.col("held") == need).alias("firing"))
 
 
 # Texts of the alert message.

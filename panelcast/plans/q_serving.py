@@ -108,6 +108,21 @@ def agg_25_slo_breach_rules(spark, sf_dir):
     return rounded(S.slo_breaches(busy), 6)
 
 
+@query("agg_25_readiness_rule", with_ctes("""
+SELECT make_timestamp(minute * 60 * 1000000) AS minute, ready, condition,
+       MIN(CAST(condition AS INT)) OVER (ORDER BY minute RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) = 1 AS firing
+FROM (SELECT g.minute, p.ready, COALESCE(p.ready = 0, true) AS condition
+      FROM (SELECT range AS minute FROM range((SELECT MIN(minute) FROM busy_log), (SELECT MAX(minute) FROM busy_log) + 1)) g
+      LEFT JOIN (SELECT minute, CAST(max({'t': ts, 's': status_code}).s < 500 AS INT) AS ready
+                 FROM busy_log WHERE path = '/health' GROUP BY minute) p USING (minute)) r""", "request_log", extra={
+    "busy_log": f"""SELECT *, CAST(FLOOR(epoch(ts) / 60) AS BIGINT) AS minute FROM (
+        SELECT * REPLACE (make_timestamp(CAST(FLOOR(epoch(ts) / {BUSY}) AS BIGINT) * 1000000) AS ts) FROM request_log) b"""}))
+def agg_25_readiness_rule(spark, sf_dir):
+    """Readiness of the service by its health probes, evaluated every minute."""
+    busy = Inputs(spark, sf_dir).requests().withColumn("ts", F.timestamp_seconds(F.floor(F.unix_timestamp("ts") / BUSY)))
+    return S.readiness_breaches(busy)
+
+
 def _alerts(spark, sf_dir):
     from panelcast.operators.decisions import retraining_decision
     from panelcast.plans.q_decisions import store_signals

@@ -90,21 +90,32 @@ def dedup_batches_stream(spark: SparkSession, source_dir: str, register_path: st
 
 
 def truth_join_stream(spark: SparkSession, pred_dir: str, truth_dir: str, sink_path: str, checkpoint: str,
-                      pred_schema: T.StructType, truth_schema: T.StructType, delay_days: int = 7):
-    """STR-03: predictions now, ground truth up to ``delay_days`` later:
-    stream-stream inner join on (Store, Date) with watermarks on both sides
-    and a time-range condition, so join state is dropped once truth can no
-    longer arrive. The watermark exceeds the label delay."""
+                      pred_schema: T.StructType, truth_schema: T.StructType, delay_days: int = 7, outcomes: bool = False):
+    """STR-03: predictions now, ground truth up to ``delay_days`` later: stream-stream join
+    on (Store, Date) with watermarks on both sides and a time-range condition, so join state
+    is dropped once truth can no longer arrive. The watermark exceeds the label delay.
+
+    With ``outcomes`` every row leaves exactly once, as an outer join: ``matched``; a
+    prediction whose truth did not come in time as ``no_truth``; truth that came too late,
+    or without a prediction, as ``unmatched_truth``. Unmatched rows come out when both
+    clocks have passed their time; rows without a store only move the clocks."""
     p = (spark.readStream.schema(pred_schema).parquet(pred_dir)
-         .withColumn("pred_ts", F.col("pred_ts").cast("timestamp"))
-         .withWatermark("pred_ts", f"{delay_days + 1} days").alias("p"))
+         .withColumn("pred_ts", F.col("pred_ts").cast("timestamp")).withWatermark("pred_ts", f"{delay_days + 1} days")
+         .filter(after_watermark(F.col("Store").isNotNull(), "pred_ts")).alias("p"))
     t = (spark.readStream.schema(truth_schema).parquet(truth_dir)
-         .withColumn("truth_ts", F.col("truth_ts").cast("timestamp"))
-         .withWatermark("truth_ts", f"{delay_days + 1} days").alias("t"))
+         .withColumn("truth_ts", F.col("truth_ts").cast("timestamp")).withWatermark("truth_ts", f"{delay_days + 1} days")
+         .filter(after_watermark(F.col("Store").isNotNull(), "truth_ts")).alias("t"))
     cond = ((F.col("p.Store") == F.col("t.Store")) & (F.col("p.Date") == F.col("t.Date"))
             & (F.col("t.truth_ts") >= F.col("p.pred_ts"))
             & (F.col("t.truth_ts") <= F.col("p.pred_ts") + F.expr(f"INTERVAL {delay_days} DAYS")))
-    j = p.join(t, cond, "inner").select("p.Store", "p.Date", "p.prediction", "t.Sales")
+    if outcomes:
+        outcome = (F.when(F.col("t.Store").isNull(), "no_truth").when(F.col("p.Store").isNull(), "unmatched_truth")
+                   .otherwise("matched"))
+        j = p.join(t, cond, "full_outer").select(
+            F.coalesce("p.Store", "t.Store").alias("Store"), F.coalesce("p.Date", "t.Date").alias("Date"),
+            "p.prediction", "t.Sales", outcome.alias("outcome"))
+    else:
+        j = p.join(t, cond, "inner").select("p.Store", "p.Date", "p.prediction", "t.Sales")
     return _writer(j, checkpoint).format("parquet").option("path", sink_path).outputMode("append").start()
 
 
