@@ -83,7 +83,7 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS, percentile: float = W
         if not rows.size:
             continue
         low = rows.min(axis=1)
-        diff = (rows - low[:, None]).astype(np.uint32)
+        diff = (rows - low[:, None]).astype(np.uint32, copy=False)
         rank = min(rows.shape[1] - 1, int(percentile * rows.shape[1]))
         mark = np.partition(diff, rank, axis=1)[:, rank]
         widths = np.ceil(np.log2(mark.astype(np.float64) + 1)).astype(int)
@@ -100,7 +100,7 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS, percentile: float = W
 
 
 def write_segment(docs: list[np.ndarray], block: int = BLOCK_IDS, percentile: float = WIDTH_PERCENTILE) -> bytes:
-    ids = np.concatenate(docs).astype(np.int64) if docs else np.zeros(0, np.int64)
+    ids = np.concatenate(docs).astype(np.uint32, copy=False) if docs else np.zeros(0, np.uint32)
     blocks = encode_blocks(ids, block, percentile)
     starts = np.cumsum([0, *map(len, blocks)])
     return b"".join([_HEAD.pack(MAGIC, len(docs), block, len(blocks), len(ids)),
@@ -182,7 +182,8 @@ def encode_ranges(docs: DataFrame, path: str, end_id: int, id_col: str, text_col
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     source = source.select("id", F.xxhash64("text").alias("hash"), "text")
-    bounds = range_bounds(source.select("id", "hash"))
+    # For the bounds a hash of the row number is as good as that of the text, which so is not read.
+    bounds = range_bounds(source.select("id", F.xxhash64(F.monotonically_increasing_id()).alias("hash")))
     kind = source.schema["id"].dataType.simpleString()
     encoded = source.mapInArrow(run, f"part int, id {kind}, hash long, ids binary")
     return encoded.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "id", "hash")
@@ -239,7 +240,7 @@ def read_tokens(spark, folder: str, with_ids: bool = False) -> DataFrame:
         for batch in batches:
             for at, keys, data in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 seg = Segment(data)
-                ids = seg.ids().astype("<u4")
+                ids = seg.ids().astype("<u4", copy=False)
                 n = seg.doc_tokens
                 ends = np.cumsum(n)
                 docs = [ids[i:j].tobytes() for i, j in zip((ends - n).tolist(), ends.tolist())]
