@@ -282,5 +282,5 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 4 and packing.SEQUENCE_TOKENS == 4096 and line_dedup.HEAVY_SLOTS == 65536
