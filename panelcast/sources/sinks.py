@@ -51,8 +51,8 @@ def log_predictions(scored: DataFrame, path: str, *, environment: str, model_ali
 
 
 def write_state(state: DataFrame, path: str) -> None:
-    """SNK-04: entity state as a parquet table (entity, history); an
-    overwrite of a directory is the atomic replace of a table."""
+    """SNK-04: entity state as a parquet table (entity, history). The overwrite deletes
+    the old table first: a reader during the write can find none."""
     state.write.mode("overwrite").parquet(path)
 
 
