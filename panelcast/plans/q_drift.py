@@ -7,7 +7,6 @@ import math
 
 from pyspark.sql import functions as F
 
-from panelcast.functions.stats import ks_pvalue_sql
 from panelcast.operators.drift import (categorical_drift, drift_run, drift_summary, numeric_drift,
                                        persistent_degradation, persistent_drift, target_drift)
 from panelcast.operators.joins import align_category_counts, in_last_n
@@ -70,6 +69,38 @@ def agg_12_quality_status(spark, sf_dir):
     return quality_status(cur, ref, UNSEEN_FEATURES)
 
 
+def _ks_pvalue_sql(d: str, n: str, m: str) -> str:
+    """Two-sample KS p-value, written for the oracle alone: up to 10,000 rows a side the
+    chance of a lattice path to stay inside the band, folded over the diagonals; above it
+    the corrected limit law. The accumulator is [first i, 0, chances..., 0]."""
+    lim = f"CAST(ROUND({d} * {n} * {m}) AS BIGINT)"
+    s = "CAST(x[1] AS BIGINT)"
+    lo = f"GREATEST(0, {s} - {m}, CAST(FLOOR(({s} * {n} - {lim}) / ({n} + {m})) AS BIGINT) + 1)"
+    hi = f"LEAST({n}, {s}, CAST(CEIL(({s} * {n} + {lim}) / ({n} + {m})) AS BIGINT) - 1)"
+    at = "COALESCE(acc[CAST(i - acc[1] AS BIGINT) + {}], 0.0)"
+    exact = (f"1.0 - COALESCE(list_reduce(list_transform(range(1, {n} + {m} + 1), lambda t: [CAST(t AS DOUBLE)]), "
+             f"lambda acc, x: list_concat([CAST({lo} AS DOUBLE), 0.0], list_transform(range({lo}, {hi} + 1), "
+             f"lambda i: (i * {at.format(2)} + ({s} - i) * {at.format(3)}) / {s}), [0.0]), "
+             f"[CAST(0.0 AS DOUBLE), 0.0, 1.0, 0.0])[3], 0.0)")
+    size = f"ROUND_EVEN(CAST({n} AS DOUBLE) * {m} / ({n} + {m}), 0)"
+    z = f"({d} * SQRT({size}))"
+    a, b = "(pi() * pi() * (k + 0.5) * (k + 0.5))", "(pi() * pi() * k * k)"
+
+    def total(term: str, e: str) -> str:
+        return f"list_sum(list_transform(range(-30, 31), lambda k: ({term}) * EXP(-{e} / (2 * {z} * {z}))))"
+
+    def zp(e: int) -> str:
+        return f"POW({z}, {e})"
+    limit = (f"{total('1.0', a)} / {z} + {total(f'{a} - {zp(2)}', a)} / (6 * {zp(4)} * SQRT({size})) + ("
+             + total(f"6 * {zp(6)} + 2 * {zp(4)} + (2 * {zp(4)} - 5 * {zp(2)}) * {a} + (1 - 2 * {zp(2)}) * {a} * {a}", a)
+             + f" / (72 * {zp(7)}) - {total(b, b)} / (36 * {zp(3)})) / {size} + ("
+             + total(f"(5 - 30 * {zp(2)}) * POW({a}, 3) + (212 * {zp(4)} - 60 * {zp(2)}) * {a} * {a} "
+                     f"+ (135 * {zp(4)} - 96 * {zp(6)}) * {a} - 30 * {zp(6)} - 90 * {zp(8)}", a)
+             + f" / (6480 * {zp(10)}) + {total(f'3 * {b} * {zp(2)} - {b} * {b}', b)} / (108 * {zp(6)})) / POW({size}, 1.5)")
+    return (f"CASE WHEN {n} = 0 OR {m} = 0 OR {d} <= 0 THEN 1.0 WHEN GREATEST({n}, {m}) <= 10000 THEN {exact} "
+            f"WHEN {d} >= 1 THEN 0.0 ELSE LEAST(GREATEST(1.0 - SQRT(pi() / 2) * ({limit}), 0.0), 1.0) END")
+
+
 def _ks_sql(features, group: str | None = None, src_ref="ref", src_cur="cur", value_filter: str = "TRUE",
             min_samples: int = 50, p_thr: float = 0.01, stat_thr: float = 0.10, current_only: bool = False) -> str:
     g = f"{group}, " if group else ""
@@ -81,22 +112,22 @@ def _ks_sql(features, group: str | None = None, src_ref="ref", src_cur="cur", va
     part = f"PARTITION BY {gk}feature"
     short = "current_n < {m}" if current_only else "reference_n < {m} OR current_n < {m}"
     short = short.format(m=min_samples)
-    p = ks_pvalue_sql("d", "reference_n", "current_n")
+    p = _ks_pvalue_sql("d", "reference_n", "current_n")
     return f"""
 SELECT {gk}feature, 'numeric' AS feature_type, 'ks' AS metric_type,
   ROUND(CASE WHEN {short} THEN 0.0 ELSE d END, 4) AS score,
-  ROUND(CASE WHEN {short} THEN 1.0 ELSE {p} END, 4) AS p_value,
+  ROUND(CASE WHEN {short} THEN 1.0 ELSE p END, 4) AS p_value,
   CAST({stat_thr} AS DOUBLE) AS threshold,
-  CASE WHEN {short} THEN false ELSE ({p}) < {p_thr} AND d > {stat_thr} END AS drift_detected,
+  CASE WHEN {short} THEN false ELSE p < {p_thr} AND d > {stat_thr} END AS drift_detected,
   reference_n, current_n, CASE WHEN {short} THEN 'insufficient_samples' ELSE '' END AS reason
-FROM (
+FROM (SELECT *, {p} AS p FROM (
   SELECT {gk}feature, MAX(ABS(CASE WHEN nr > 0 AND nc > 0 THEN cr / nr - cc / nc END)) AS d, CAST(MAX(nr) AS BIGINT) AS reference_n,
          CAST(MAX(nc) AS BIGINT) AS current_n
   FROM (SELECT {gk}feature, v, SUM(c_ref) OVER ({part} ORDER BY v) AS cr, SUM(c_cur) OVER ({part} ORDER BY v) AS cc,
                SUM(c_ref) OVER ({part}) AS nr, SUM(c_cur) OVER ({part}) AS nc
         FROM (SELECT {gk}feature, v, CAST(SUM(1 - side) AS DOUBLE) AS c_ref, CAST(SUM(side) AS DOUBLE) AS c_cur
               FROM ({longs}) l WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY ALL) c) w
-  GROUP BY ALL) k"""
+  GROUP BY ALL) k0) k"""
 
 
 @query("agg_13_numeric_drift_ks", with_ctes(_ks_sql(NUMERIC), extra=EV))

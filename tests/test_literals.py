@@ -366,6 +366,6 @@ def test_chi2_and_ks_tails(spark):
                                "x double, k int")
     ps = [r[0] for r in df.select(chi2_sf(F.col("x"), F.col("k"))).collect()]
     assert all(abs(p - 0.05) < 2e-6 for p in ps[:5]) and ps[5] == 1.0
-    ks = spark.createDataFrame([(0.0, 100, 100), (1.36 / math.sqrt(50), 100, 100)], "d double, n long, m long")
+    ks = spark.createDataFrame([(0.0, 100, 100), (1.36 / math.sqrt(1e5), 200_000, 200_000)], "d double, n long, m long")
     p = [r[0] for r in ks.select(ks_pvalue(F.col("d"), F.col("n"), F.col("m"))).collect()]
     assert p[0] == 1.0 and abs(p[1] - 0.0494) < 1e-3
