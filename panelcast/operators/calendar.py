@@ -108,25 +108,31 @@ def build_known_calendar(source: DataFrame, roles: Roles = Roles(), maximum_dist
     return cal.select(roles.entity, roles.time, *CALENDAR_FEATURE_COLUMNS)
 
 
-def unique_key_violations(df: DataFrame, keys: Sequence[str], limit: int = 5) -> list:
-    """Up to ``limit`` duplicated keys (a bounded sample reaches the driver)."""
-    return df.groupBy(*keys).count().filter("count > 1").limit(limit).collect()
+def assert_unique(df: DataFrame, entity: str, time: str, message: str = "Duplicate key ") -> DataFrame:
+    """The same rows; a second row of an (entity, time) fails the job that reads them.
+
+    A row whose predecessor in its entity has the same time is a duplicate: the window has
+    the entity's usual partitioning and order, so a table that was built by such windows is
+    neither shuffled nor sorted again. No job runs while the plan is built. Rows without a
+    key are never duplicates (they join with nothing)."""
+    before = F.lag(time).over(Window.partitionBy(entity).orderBy(time))
+    repeated = F.col(entity).isNotNull() & F.col("_before").eqNullSafe(F.col(time)) & F.col(time).isNotNull()
+    check = F.when(~repeated, F.lit(True)).otherwise(F.raise_error(F.concat(
+        F.lit(message), F.col(entity).cast("string"), F.lit(" "), F.col(time).cast("string"))).cast("boolean"))
+    return df.withColumn("_before", before).filter(check).drop("_before")
 
 
 def merge_calendar(df: DataFrame, calendar: DataFrame, roles: Roles = Roles(), strict: bool = True,
                    check_unique: bool = True) -> DataFrame:
     """JON-03 / JON-04: many-to-one left join of features onto (entity, time).
 
-    strict: duplicate calendar keys raise (checked eagerly by a small
-    aggregate) and any unmatched row raises at execution (``raise_error``
-    inside the plan, no extra pass). lenient: unmatched rows get the literal
-    distance 31 and flags 0.
+    A duplicate calendar key raises at execution, matched or not; with strict any unmatched
+    row does too (``raise_error`` inside the plan, no extra pass and no job before it).
+    lenient: unmatched rows get the literal distance 31 and flags 0.
     """
     keys = roles.keys
     if check_unique:
-        dups = unique_key_violations(calendar, keys)
-        if dups:
-            raise ValueError(f"Calendar has duplicate keys, e.g. {[tuple(r)[:2] for r in dups]}")
+        calendar = assert_unique(calendar, *keys, message="Calendar has duplicate key ")
     cal = calendar.select(*keys, *CALENDAR_FEATURE_COLUMNS).withColumn("_cal_hit", F.lit(True))
     base = df.drop(*[c for c in CALENDAR_FEATURE_COLUMNS if c in df.columns])
     joined = base.join(cal, keys, "left")

@@ -123,11 +123,17 @@ def violation_summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def validate_inference(df: DataFrame, rules: Sequence[Rule] = INFERENCE_RULES, target: str = "Sales") -> DataFrame:
-    """PRJ-05: the target column must be absent (plan-time check); rows are
-    tagged with violations; an empty input raises inside the plan."""
+    """PRJ-05: the target column must be absent (plan-time check); rows are tagged with
+    violations; an empty input raises when the plan runs. For that a branch without rows is
+    added, which looks for one input row (a limit, not a count of all)."""
     if target in df.columns:
         raise ValueError(f"Inference input must not contain target column '{target}'")
-    return with_violations(df, rules)
+    tagged = with_violations(df, rules)
+    found = df.select(F.lit(1).alias("_row")).limit(1).agg(F.count("_row").alias("_found"))
+    stop = F.when(F.col("_found") > 0, F.lit(False)).otherwise(
+        F.raise_error(F.lit("Inference input is empty")).cast("boolean"))
+    none = found.filter(stop).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in tagged.schema.fields])
+    return tagged.unionByName(none)
 
 
 def coerce(df: DataFrame, types: dict[str, str]) -> DataFrame:

@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from panelcast.operators.state import create_state
-from panelcast.plans.registry import Inputs, query
+from panelcast.plans.registry import Inputs, query, rounded
 from panelcast.schema import Roles, STATE_SCHEMA
 from panelcast.sources import files as Fi
 from panelcast.sources import sinks as Sk
@@ -106,21 +106,31 @@ def src_07_prediction_log_json(spark, sf_dir):
 
 @query("src_08_newest_file_pick")
 def src_08_newest_file_pick(spark, sf_dir):
+    """One file a year, then the last year's delivered again: that one is the newest."""
     path = _write_batches(spark, sf_dir, "src08")
-    return Fi.newest_batch(Fi.read_batches(spark, f"{path}/year=*/*.csv")).select("file").distinct()
+    raw = raw_sales_rows(Inputs(spark, sf_dir).t.lineitem)
+    last = F.year(raw.agg(F.max("Date")).scalar())
+    raw.filter(F.year("Date") == last).select(*SALES_COLS, F.year("Date").alias("year")).coalesce(1) \
+        .write.partitionBy("year").option("header", True).csv(f"{path}/late")
+    newest = Fi.newest_file(spark, [f"{path}/year=*/*.csv", f"{path}/late/year=*/*.csv"])
+    return newest.select(F.regexp_extract("file", r"/year=(\d+)/", 1).cast("int").alias("year"),
+                         F.col("file").contains("/late/").alias("is_late"), (F.col("length") > 0).alias("has_size"))
 
 
 @query("src_09_result_file_discovery")
 def src_09_result_file_discovery(spark, sf_dir):
-    """Two rolling-metric result files (one with the required header, one
-    without); only the first is accepted and read."""
+    """Three kinds of rolling-metric result files: with the required header, with the
+    columns in another order beside a quoted text column, and without two of them (not read)."""
     from panelcast.operators.metrics import rolling_metrics
     base = Fi.scratch_dir(spark, "src09")
     h = rolling_metrics(Inputs(spark, sf_dir).predictions()).withColumn("day", F.datediff("window_end", F.lit("1990-01-01")))
-    h.select("day", "rmse", "mae", "bias").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/good")
-    h.select("day", "rmse").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/bad")
-    files, data = Fi.discover_result_files(spark, f"{base}/*/*.csv")
-    return data
+    note = F.lit('seven days, "rolling"').alias("note")
+    for name, cols in (("plain", ["day", "rmse", "mae", "bias"]), ("swapped", ["bias", note, "mae", "day", "rmse"]),
+                       ("short", ["day", "rmse"])):
+        h.select(*cols).write.option("header", True).option("escape", '"').csv(f"{base}/{name}")
+    _, data = Fi.discover_result_files(spark, f"{base}/*/*.csv")
+    return rounded(data.select(F.col("day").cast("long").alias("day"), "rmse", "mae", "bias",
+                               F.regexp_extract("source_file", r"/(\w+)/[^/]*$", 1).alias("source")))
 
 
 @query("snk_01_overwrite_sink")
@@ -166,9 +176,13 @@ def snk_03_prediction_log(spark, sf_dir):
 
 @query("snk_04_state_write_read")
 def snk_04_state_write_read(spark, sf_dir):
-    st = create_state(Inputs(spark, sf_dir).panel(), R, 28)
-    out = Fi.scratch_dir(spark, "snk04")
-    Sk.write_state(st, out)
+    """A state without the last 14 days, replaced by the whole one; between the two a
+    write that died before its commit, which no reader sees."""
+    from panelcast.operators.splits import holdout_split
+    panel, out = Inputs(spark, sf_dir).panel(), Fi.scratch_dir(spark, "snk04")
+    Sk.write_state(create_state(holdout_split(panel, R, 14)[0], R, 28), out)
+    spark.createDataFrame([], Sk.read_state(spark, out).schema).write.parquet(f"{out}/versions/v-uncommitted")
+    Sk.write_state(create_state(panel, R, 28), out)
     return Sk.read_state(spark, out)
 
 
@@ -248,6 +262,12 @@ SELECT ROUND(SQRT(s2 / n), 4) AS rmse, ROUND(sa / n, 4) AS mae, ROUND(s1 / n, 4)
   FROM (SELECT Date AS d, SUM((Sales - prediction) * (Sales - prediction)) AS s2, SUM(ABS(Sales - prediction)) AS sa,
                SUM(Sales - prediction) AS s1, COUNT(*) AS n FROM naive_predictions GROUP BY Date) x
   WINDOW w AS (ORDER BY d RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)) y""", "naive_predictions")
+    ORACLES["src_08_newest_file_pick"] = with_ctes(
+        "SELECT CAST(year(MAX(Date)) AS INT) AS year, true AS is_late, true AS has_size FROM raw",
+        extra={"raw": RAW_ROWS_SQL})
+    ORACLES["src_09_result_file_discovery"] = (
+        "SELECT date_diff('day', DATE '1990-01-01', window_end) AS day, rmse, mae, bias, source FROM ("
+        + ORACLES["win_09_rolling_metrics"] + ") h, (VALUES ('plain'), ('swapped')) t(source)")
     ORACLES["src_05_multi_file_glob_scan"] = with_ctes(
         "SELECT CAST(year(Date) AS INT) AS year, COUNT(*) AS rows, MIN(Date) AS min_date, true AS all_timed FROM raw GROUP BY 1",
         extra={"raw": RAW_ROWS_SQL})

@@ -8,10 +8,11 @@ file path / modification time without listing files on the driver.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,27 +70,71 @@ def read_if_available(spark: SparkSession, path: str, schema: T.StructType, fmt:
         raise
 
 
-def newest_batch(batches: DataFrame) -> DataFrame:
-    """SRC-08: rows of the newest file by modification time (ties: path)."""
-    newest = batches.select("file", "file_mtime").distinct().orderBy(F.col("file_mtime").desc(), F.col("file").desc()).limit(1)
-    return batches.join(newest.select("file"), "file", "left_semi")
+def file_table(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """SRC-08: the listing as a table (file, file_mtime, length). The content column is not
+    asked for, so no file is opened."""
+    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    return listed.select(F.col("path").alias("file"), F.col("modificationTime").alias("file_mtime"), "length")
 
 
-def discover_result_files(spark: SparkSession, pattern: str, required: Sequence[str] = ("day", "rmse", "mae", "bias")):
-    """SRC-09: keep only CSVs whose header holds all required columns,
-    newest first; returns (per-file table, union of accepted files tagged
-    with their name). Only the first line of each file is parsed."""
-    files = (spark.read.format("binaryFile").load(pattern)
-             .select("path", "modificationTime",
-                     F.split(F.substring_index(F.decode("content", "UTF-8"), "\n", 1), ",").alias("header")))
+def newest_file(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """SRC-08: the newest file by modification time (ties: path), from the listing alone;
+    no row where nothing matches."""
+    return file_table(spark, paths).orderBy(F.col("file_mtime").desc(), F.col("file").desc()).limit(1)
+
+
+def newest_batch(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = SALES_SCHEMA) -> DataFrame:
+    """SRC-08: rows of the newest file. Its name (one value) is resolved when the plan is
+    built, so that the scan opens this file only."""
+    newest = newest_file(spark, paths).head()
+    if newest is None:
+        raise ValueError(f"No batch file under {paths}")
+    # a listed path is literal: the characters of a pattern in it must not match others
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", newest["file"])
+    return read_batches(spark, literal, schema)
+
+
+#: A comma and the field after it: quoted (a doubled quote stands for one) or plain.
+CSV_FIELD = r',(?:"([^"]*(?:""[^"]*)*)"|([^,]*))'
+
+
+def csv_fields(line: Column) -> Column:
+    """The fields of one CSV line as an array of texts."""
+    led = F.concat(F.lit(","), line)
+    quoted, plain = (F.regexp_extract_all(led, F.lit(CSV_FIELD), F.lit(group)) for group in (1, 2))
+    return F.zip_with(quoted, plain, lambda q, p: F.when(q != "", F.replace(q, F.lit('""'), F.lit('"'))).otherwise(p))
+
+
+def discover_result_files(spark: SparkSession, pattern: str,
+                          required: Sequence[str] = ("day", "rmse", "mae", "bias")) -> tuple[DataFrame, DataFrame]:
+    """SRC-09: only CSVs whose header holds all required columns are taken, whatever else
+    they hold and in whatever order. Returns (per-file table with header and ``accepted``,
+    newest first; rows of the accepted files: the required columns as double, the others as
+    a map ``other``, and ``source_file``).
+
+    One text scan for all files: a line's place is its split's start and its number in the
+    task, the header is the line of the least place, fields are found by name in the plan.
+    No path reaches the driver. A line break inside a quoted field is not supported; a
+    field that is no number is NULL; blank lines are skipped."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(pattern).select(
+        F.rtrim(F.col("value"), F.lit("\r")).alias("value"), F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("file_mtime"), place.alias("place")).filter("value <> ''")
+    files = lines.groupBy("source_file", "file_mtime").agg(
+        F.min("place").alias("first"), csv_fields(F.min_by("value", "place")).alias("header"))
     need = F.array(*[F.lit(c) for c in required])
     files = files.withColumn("accepted", F.size(F.array_except(need, F.col("header"))) == 0)
-    accepted = [r["path"] for r in files.filter("accepted").orderBy(F.col("modificationTime").desc()).select("path").collect()]
-    data = None
-    for p in accepted:  # one reader per accepted file (the file list is small metadata)
-        d = spark.read.option("header", True).option("inferSchema", True).csv(p).withColumn("source_file", F.lit(p))
-        data = d if data is None else data.unionByName(d, allowMissingColumns=True)
-    return files.orderBy(F.col("modificationTime").desc()), data
+    rows = lines.drop("file_mtime").join(files.filter("accepted").select("source_file", "first", "header"), "source_file")
+    values = F.transform(csv_fields(F.col("value")), lambda v: F.nullif(v, F.lit("")))
+    # fields beyond the header have no name; of a name that stands twice the first counts
+    named = F.transform("header", lambda name, i: F.struct(name.alias("name"), F.try_element_at("values", i + 1).alias("field")))
+    known = rows.filter(F.col("place") > F.col("first")).select("source_file", "header", values.alias("values")).select(
+        "source_file", F.map_from_entries(F.filter(
+            named, lambda e, i: F.array_position("header", e["name"]) == i + 1)).alias("f"))
+    other = F.map_filter("f", lambda k, v: ~F.array_contains(need, k))
+    data = known.select(*[F.try_element_at("f", F.lit(c)).try_cast("double").alias(c) for c in required],
+                        other.alias("other"), "source_file")
+    return files.select("source_file", "file_mtime", "header", "accepted").orderBy(F.col("file_mtime").desc()), data
 
 
 PREDICTION_LOG_JSON_SCHEMA = T.StructType([

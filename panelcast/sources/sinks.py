@@ -5,9 +5,13 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from panelcast.sources.files import read_if_available
 
 
 def save_table(df: DataFrame, path: str, fmt: str | None = None) -> None:
@@ -50,15 +54,45 @@ def log_predictions(scored: DataFrame, path: str, *, environment: str, model_ali
     return out
 
 
-def write_state(state: DataFrame, path: str) -> None:
-    """SNK-04: entity state as a parquet table (entity, history). The overwrite deletes
-    the old table first: a reader during the write can find none."""
-    state.write.mode("overwrite").parquet(path)
+STATE_COMMITS = "version string, sequence long, committed_at timestamp"
+
+
+def state_commits(spark: SparkSession, path: str) -> DataFrame:
+    """SNK-04: the committed versions of a state table (none where there is no table yet)."""
+    return read_if_available(spark, f"{path.rstrip('/')}/commits", T.StructType.fromDDL(STATE_COMMITS))
+
+
+def current_state_version(spark: SparkSession, path: str) -> str | None:
+    """SNK-04: folder name of the newest committed version: highest sequence, of two
+    writers that took the same one the later commit."""
+    newest = state_commits(spark, path).orderBy(F.desc("sequence"), F.desc("committed_at"), F.desc("version")).head(1)
+    return newest[0]["version"] if newest else None
+
+
+def write_state(state: DataFrame, path: str) -> str:
+    """SNK-04: entity state (entity, history) as a new version of the table at ``path``.
+
+    Rows go to a folder of their own; only when all are written is one row appended to
+    ``commits``, which Spark's committer moves into place as a single file. Nothing is
+    overwritten: a reader meanwhile, and every reader after a write that died, sees the
+    version before; the new state may be computed from the old one. Earlier versions stay
+    for readers that resolved them. Returns the version."""
+    spark, root, version = state.sparkSession, path.rstrip("/"), f"v-{uuid.uuid4().hex}"
+    state.write.parquet(f"{root}/versions/{version}")
+    taken = state_commits(spark, root).agg(F.coalesce(F.max("sequence"), F.lit(0)).alias("n")).head()["n"]
+    commit = spark.range(1).select(F.lit(version).alias("version"), F.lit(taken + 1).cast("long").alias("sequence"),
+                                   F.current_timestamp().alias("committed_at"))
+    commit.coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    return version
 
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """SNK-04: entities whose history is not a list are skipped."""
-    df = spark.read.parquet(path)
+def read_state(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """SNK-04: the newest committed state, resolved once when the plan is built (or the
+    named version); entities whose history is not a list are skipped."""
+    version = version or current_state_version(spark, path)
+    if version is None:
+        raise ValueError(f"No committed state under {path}")
+    df = spark.read.parquet(f"{path.rstrip('/')}/versions/{version}")
     return df.filter(F.col("history").isNotNull())
 
 

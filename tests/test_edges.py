@@ -104,3 +104,34 @@ def test_request_percentiles_nearest_rank(spark):
     # n=6: p50 index rint(2.5)=2 -> 30ms; p95 rint(4.75)=5 -> 60ms
     assert r["latency_p50_ms"] == 30.0 and r["latency_p95_ms"] == 60.0 and r["error_total"] == 1
     assert r["error_rate"] == pytest.approx(0.1667) and r["latency_avg_ms"] == 35.0
+
+
+def test_checked_joins_run_no_job_and_fail_in_execution(spark):
+    import datetime as dt
+
+    from panelcast.operators.calendar import assert_unique, build_known_calendar, merge_calendar
+    from panelcast.operators.validate import validate_inference
+    day = [dt.date(2015, 7, d) for d in (1, 2, 3)]
+    rows = [(s, d, "0", 0) for s in (1, 2) for d in day]
+    cal = build_known_calendar(spark.createDataFrame(rows, "Store long, Date date, StateHoliday string, SchoolHoliday int"))
+    facts = spark.createDataFrame([(1, day[0]), (1, day[0]), (2, day[2])], "Store long, Date date")
+    assert merge_calendar(facts, cal).count() == 3
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup())
+    doubled = merge_calendar(facts, cal.unionByName(cal.filter("Store = 2 AND Date = '2015-07-02'")))
+    lenient = merge_calendar(facts, cal.unionByName(cal.filter("Store = 2")), strict=False)
+    started = set(tracker.getJobIdsForGroup()) - before
+    assert not started
+    for bad in (doubled, lenient):
+        with pytest.raises(Exception, match="duplicate key 2"):
+            bad.collect()
+    null_keys = spark.createDataFrame([(None, day[0]), (None, day[0]), (1, None), (1, None)], "Store long, Date date")
+    assert assert_unique(null_keys, "Store", "Date").count() == 4
+    # a calendar that comes from entity windows is not shuffled again for the check
+    plan = assert_unique(cal, "Store", "Date")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    empty = spark.createDataFrame([], "Store long, Date date, Open int, Promo int, StateHoliday string, SchoolHoliday int")
+    with pytest.raises(Exception, match="Inference input is empty"):
+        validate_inference(empty).collect()
+    one = spark.createDataFrame([(1, day[0], 1, 7, "0", 0)], empty.schema)
+    assert [r["violations"] for r in validate_inference(one).collect()] == [["Promo in {0,1}"]]
