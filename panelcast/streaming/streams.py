@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from panelcast.functions.scalar import content_batch_id
+from panelcast.operators.scoring import Scorer
 from panelcast.operators.serving import LATENCY_BUCKETS_SECONDS
-from panelcast.operators.state import state_features
 from panelcast.operators.validate import TRAIN_RULES, route_batches
 from panelcast.schema import SALES_SCHEMA, STATE_LENGTH, Roles
 
@@ -326,22 +326,25 @@ def request_counts_stream(spark: SparkSession, source_dir: str, sink_path: str,
     return _writer(out, checkpoint).format("parquet").option("path", sink_path).outputMode("append").start()
 
 
-def score_stream(spark: SparkSession, source_dir: str, state: DataFrame, sink_path: str, checkpoint: str,
-                 schema: T.StructType, roles: Roles = Roles(), environment: str = "dev"):
-    """STR-07: requests stream joined with the (static, versioned) entity
-    state, scored by the state path (FUN-09 padded rolling mean of 7 as
-    the forecast, FUN-08 rule) and logged to a ``prediction_date``
-    partitioned parquet sink."""
-    from panelcast.functions.scalar import business_rule
-    s = spark.readStream.schema(schema).parquet(source_dir)
-    j = s.join(state.withColumnRenamed("entity", roles.entity), roles.entity, "left")
-    feats = state_features(F.col("history"), roles.target, mode="pad")
-    scored = j.withColumns(feats).drop("history")
-    name = [k for k in feats if k.endswith("rolling_mean_7")][0]
-    out = scored.withColumns({
-        "prediction": business_rule(F.col(name), "Open" if "Open" in schema.names else None),
-        "prediction_id": F.expr("uuid()"), "environment": F.lit(environment),
-        "prediction_date": F.date_format(F.col(roles.time), "yyyy-MM-dd"),
-    })
-    return (_writer(out, checkpoint).format("parquet").option("path", sink_path)
-            .partitionBy("prediction_date").outputMode("append").start())
+def log_scored(batch: DataFrame, epoch: int, scorer: Scorer, sink_path: str, environment: str,
+               received_col: str = "received_on") -> None:
+    """STR-07: score one micro-batch and write it as the partitions (epoch, prediction_date),
+    the date being that of the request's arrival. The partitions of an epoch are overwritten,
+    and dates and ids depend on the rows alone: an epoch that runs again leaves the same log."""
+    out = scorer.score(batch).withColumns({
+        "environment": F.lit(environment), "epoch": F.lit(epoch).cast("long"),
+        "prediction_date": F.date_format(received_col, "yyyy-MM-dd")})
+    (out.repartition("prediction_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("epoch", "prediction_date").parquet(sink_path))
+
+
+def score_stream(spark: SparkSession, source_dir: str, scorer: Scorer, sink_path: str, checkpoint: str,
+                 schema: T.StructType, environment: str = "dev", files_per_batch: int | None = None):
+    """STR-07: a stream of requests scored with a fitted model by the function that bulk
+    scoring uses, logged to a date-partitioned parquet sink. A request's rows must lie in
+    one file, since a micro-batch takes whole files. ``files_per_batch`` bounds a batch."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return (_writer(reader.parquet(source_dir), checkpoint)
+            .foreachBatch(lambda batch, epoch: log_scored(batch, epoch, scorer, sink_path, environment)).start())
