@@ -253,6 +253,39 @@ def persistent_drift(history: DataFrame, at, lookback_days: int = 14, windows: i
                       reason.alias("reason"))
 
 
+def drift_history(df: DataFrame, features: Sequence[str], at: Column, offsets: Sequence[int], days: int = 365,
+                  group_cols: Sequence[str] = (), time: str = "Date", min_samples: int = MIN_SAMPLES) -> DataFrame:
+    """AGG-16 repeated: numeric drift at ``at`` minus each of ``offsets`` days, the last
+    ``days`` days against all before them, in one job; ``timestamp`` is the window end. A
+    row is read once and goes to the evaluations that had seen it."""
+    ends = F.explode(F.array(*[F.date_sub(at, n) for n in offsets])).alias("timestamp")
+    seen = df.select(*group_cols, time, *features, ends).filter(F.col(time) <= F.col("timestamp"))
+    current = F.col(time) > F.date_sub("timestamp", days)
+    return numeric_drift(seen.filter(~current), seen.filter(current), features, [*group_cols, "timestamp"],
+                         min_samples=min_samples)
+
+
+def persistent_drift_by(history: DataFrame, at: Column, group_by: Sequence[str], lookback_days: int = 14,
+                        windows: int = 2, ts_col: str = "timestamp") -> DataFrame:
+    """AGG-17 for every key of ``group_by`` in one job: one rank over a key's evaluations
+    and two aggregates. Keys without a window in the look-back have no row."""
+    keys, ts, at_c = list(group_by), F.col(ts_col).cast("timestamp"), at.cast("timestamp")
+    recent = history.filter((ts >= at_c - F.expr(f"INTERVAL {lookback_days} DAYS")) & (ts <= at_c)).withColumn("_ts", ts)
+    rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col("_ts").desc()))
+    per = recent.withColumn("_rank", rank).filter(F.col("_rank") <= windows).groupBy(*keys, "feature").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("drift_detected").alias("drifted"), F.max("_rank").alias("_rank"),
+        F.max("_ts").alias("_ts"))
+    held = F.when((F.col("n") == windows) & (F.col("drifted") == windows), F.col("feature"))
+    out = per.groupBy(*keys).agg(F.max("_rank").alias("windows_found"), F.max("_ts").alias("window_end"),
+                                 F.array_sort(F.collect_list(held)).alias("features"))
+    reason = (F.when(F.col("windows_found") < windows, F.concat(
+        F.lit(REASON_FEW_DRIFT_WINDOWS), F.col("windows_found").cast("string"), F.lit(f"/{windows}.")))
+        .when(F.size("features") == 0, F.lit(REASON_NO_DRIFT.format(n=windows)))
+        .otherwise(F.concat(F.lit(REASON_PERSISTENT_DRIFT + "['"), F.array_join("features", "', '"), F.lit("']."))))
+    return out.select(*keys, (F.size("features") > 0).alias("triggered"), "windows_found", "window_end", "features",
+                      reason.alias("reason"))
+
+
 def persistent_degradation(history: DataFrame, windows: int = 2, rmse_limit: float = 1375.0,
                            mae_limit: float = 990.0, bias_limit: float = 900.0,
                            end_col: str = "window_end", *, order_col: str,

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 from panelcast.functions.scalar import fingerprint_agg
 from panelcast.operators import decisions as D
 from panelcast.operators import metrics as M
-from panelcast.operators.drift import persistent_degradation
+from panelcast.operators.drift import (REASON_PERSISTENT_DEGRADATION, REASON_PERSISTENT_DRIFT, drift_history,
+                                       persistent_degradation, persistent_drift_by)
 from panelcast.operators.joins import join_dimension
 from panelcast.operators.splits import holdout_split
 from panelcast.operators.validate import TRAIN_RULES, with_violations
+from panelcast.plans.q_drift import _ks_sql
 from panelcast.plans.registry import Inputs, query, rounded
 from panelcast.plans.sql import with_ctes
 from panelcast.schema import Roles
 from panelcast.sources.adapters import raw_sales_rows
+from panelcast.sources.files import scratch_dir
 
 R = Roles()
 
@@ -84,13 +87,17 @@ def dec_01_promotion_policy(spark, sf_dir):
 
 
 NEW_DAYS = 90
+#: Drift of a store: its last 365 days against all before, today and a week ago. The given
+#: tables hold no drift, so its input has the last year's sales of every fifth store raised by half.
+DRIFT_FEATURES, DRIFT_OFFSETS = ["Sales", "Customers", "Promo"], (0, 7)
 
 
 def store_signals(i: Inputs, minimum_rows: int = 20):
     """DEC-04 per store: new rows and batch ids of the last 90 days, data
     quality of those rows, cooldown / schedule from the last promo day of
     the training period, persistent degradation of per-store rolling
-    metrics, budget. One row per store (a keyed plan of small aggregates)."""
+    metrics, feature drift in both of the last two evaluations, budget. One row per store
+    (a keyed plan of small aggregates)."""
     raw = raw_sales_rows(i.t.lineitem)
     last = raw.agg(F.max("Date")).scalar()
     new = with_violations(raw.filter(F.col("Date") > F.date_sub(last, NEW_DAYS)), TRAIN_RULES)
@@ -108,18 +115,24 @@ def store_signals(i: Inputs, minimum_rows: int = 20):
     hist = M.rolling_metrics(i.predictions(), group_by=["Store"])
     deg = persistent_degradation(hist, 2, order_col="window_end", group_by=["Store"]).select(
         "Store", F.col("triggered").alias("performance_degraded"),
-        F.date_format("performance_window_end", "yyyy-MM-dd").alias("performance_window_end"))
-    sig = per.join(lastpromo, "Store", "left").join(deg, "Store", "left")
+        F.date_format("performance_window_end", "yyyy-MM-dd").alias("performance_window_end"),
+        F.col("reason").alias("performance_reason"))
+    raised = (F.col("Store") % 5 == 0) & (F.col("Date") > F.date_sub(last, 365))
+    shifted = panel.withColumn("Sales", F.when(raised, F.col("Sales") * 1.5).otherwise(F.col("Sales")))
+    history = drift_history(shifted, DRIFT_FEATURES, last, DRIFT_OFFSETS, group_cols=["Store"])
+    drift = persistent_drift_by(history, last, ["Store"]).select(
+        "Store", F.col("triggered").alias("feature_drift_persistent"),
+        F.date_format("window_end", "yyyy-MM-dd").alias("drift_window_end"), F.col("reason").alias("drift_reason"))
+    sig = per.join(lastpromo, "Store", "left").join(deg, "Store", "left").join(drift, "Store", "left")
     sig = D.cooldown_and_schedule(sig, F.date_add(F.lit(last), 1).cast("timestamp"))
     return sig.select(
         "Store", "dataset_version", "new_training_rows", F.lit(minimum_rows).alias("minimum_training_rows"),
         (F.col("bad_rows") == 0).alias("data_quality_ok"),
         F.coalesce("performance_degraded", F.lit(False)).alias("performance_degraded"),
-        F.lit(False).alias("feature_drift_persistent"), "cooldown_active",
+        F.coalesce("feature_drift_persistent", F.lit(False)).alias("feature_drift_persistent"), "cooldown_active",
         (F.col("new_training_rows") <= D.RETRAINING_DEFAULTS["maximum_new_training_rows"]).alias("budget_available"),
         "batch_ids", "scheduled_retraining_due", "days_since_last_training", "performance_window_end",
-        F.lit(None).cast("string").alias("drift_window_end"), F.lit(None).cast("string").alias("performance_reason"),
-        F.lit(None).cast("string").alias("drift_reason"), F.lit(None).cast("string").alias("data_quality_reason"))
+        "drift_window_end", "performance_reason", "drift_reason", F.lit(None).cast("string").alias("data_quality_reason"))
 
 
 _RAW = ("SELECT 'gt_' || CAST(l_suppkey + 1 AS VARCHAR) || '_' || strftime(CAST(l_shipdate AS DATE), '%Y%m%d') AS file, "
@@ -143,25 +156,43 @@ _SIGNALS = {
     "deg": "SELECT Store, COUNT(*) = 2 AND COUNT(*) FILTER (WHERE (rmse > 1375.0 AND mae > 990.0) OR ABS(bias) > 900.0) = 2 AS degraded, "
            "strftime(MAX(window_end), '%Y-%m-%d') AS performance_window_end FROM ("
            "SELECT *, ROW_NUMBER() OVER (PARTITION BY Store ORDER BY window_end DESC) AS rk FROM roll) r WHERE rk <= 2 GROUP BY Store",
+    "ends": "SELECT UNNEST([(SELECT MAX(Date) FROM sales_panel), (SELECT MAX(Date) FROM sales_panel) - 7]) AS drift_end",
+    "shifted": "SELECT * REPLACE (CASE WHEN Store % 5 = 0 AND Date > (SELECT MAX(Date) FROM sales_panel) - 365 "
+               "THEN Sales * CAST(1.5 AS DOUBLE) ELSE Sales END AS Sales) FROM sales_panel",
+    "dref": "SELECT * FROM shifted, ends WHERE Date <= drift_end - 365",
+    "dcur": "SELECT * FROM shifted, ends WHERE Date > drift_end - 365 AND Date <= drift_end",
+    "dhist": _ks_sql(DRIFT_FEATURES, group="Store, drift_end", src_ref="dref", src_cur="dcur"),
+    "dfeat": "SELECT Store, feature, COUNT(*) AS n, COUNT(*) FILTER (WHERE drift_detected) AS drifted, MAX(drift_end) AS drift_end "
+             "FROM dhist GROUP BY Store, feature",
+    "drift": "SELECT Store, strftime(MAX(drift_end), '%Y-%m-%d') AS drift_window_end, "
+             "list_sort(list(feature) FILTER (WHERE n = 2 AND drifted = 2)) AS features FROM dfeat GROUP BY Store",
     "now": "SELECT CAST((SELECT MAX(Date) FROM raw) + 1 AS TIMESTAMP) AS now",
-    "sig": """SELECT per.Store, dataset_version, new_training_rows, 20 AS minimum_training_rows, bad_rows = 0 AS data_quality_ok,
-      COALESCE(deg.degraded, false) AS performance_degraded, false AS feature_drift_persistent,
+    "sig": f"""SELECT per.Store, dataset_version, new_training_rows, 20 AS minimum_training_rows, bad_rows = 0 AS data_quality_ok,
+      COALESCE(deg.degraded, false) AS performance_degraded, COALESCE(len(drift.features), 0) > 0 AS feature_drift_persistent,
+      '{REASON_PERSISTENT_DRIFT}[''' || array_to_string(drift.features, ''', ''') || '''].' AS drift_reason,
       COALESCE(now.now - lp.last_ts < INTERVAL 168 HOUR, false) AS cooldown_active,
       new_training_rows <= 1000000 AS budget_available, batch_ids,
       CASE WHEN COALESCE(lp.last_ts, lp.rel_ts) IS NOT NULL AND now.now >= COALESCE(lp.last_ts, lp.rel_ts)
            THEN now.now - COALESCE(lp.last_ts, lp.rel_ts) >= INTERVAL 168 HOUR ELSE false END AS scheduled_retraining_due,
-      deg.performance_window_end, CAST(NULL AS VARCHAR) AS drift_window_end
-    FROM per LEFT JOIN lp USING (Store) LEFT JOIN deg USING (Store), now""",
+      deg.performance_window_end, drift.drift_window_end
+    FROM per LEFT JOIN lp USING (Store) LEFT JOIN deg USING (Store) LEFT JOIN drift USING (Store), now""",
 }
 
 
+_DECISION_ID_SQL = """'retrain-' || substr(sha256(to_json({'batch_ids': batch_ids, 'dataset_version': dataset_version,
+  'drift_window_end': drift_window_end, 'feature_drift_persistent': feature_drift_persistent,
+  'new_training_rows': new_training_rows, 'performance_degraded': performance_degraded,
+  'performance_window_end': performance_window_end, 'scheduled_retraining_due': scheduled_retraining_due})), 1, 16)"""
+
+
 @query("dec_04_signal_collection", with_ctes("""
-SELECT Store, dataset_version, new_training_rows, data_quality_ok, performance_degraded, cooldown_active,
-       budget_available, scheduled_retraining_due FROM sig""", "naive_predictions", extra=_SIGNALS))
+SELECT Store, dataset_version, new_training_rows, data_quality_ok, performance_degraded, feature_drift_persistent,
+       drift_window_end, CASE WHEN feature_drift_persistent THEN drift_reason END AS drift_reason, cooldown_active, budget_available, scheduled_retraining_due FROM sig""", "naive_predictions", extra=_SIGNALS))
 def dec_04_signal_collection(spark, sf_dir):
     s = store_signals(Inputs(spark, sf_dir))
+    reason = F.when(F.col("feature_drift_persistent"), F.col("drift_reason")).alias("drift_reason")
     return s.select("Store", "dataset_version", "new_training_rows", "data_quality_ok", "performance_degraded",
-                    "cooldown_active", "budget_available", "scheduled_retraining_due")
+                    "feature_drift_persistent", "drift_window_end", reason, "cooldown_active", "budget_available", "scheduled_retraining_due")
 
 
 @query("dec_03_retraining_policy", with_ctes(f"""
@@ -175,18 +206,15 @@ SELECT Store,
        WHEN new_training_rows < minimum_training_rows THEN ['Insufficient new training rows: ' || new_training_rows || '/' || minimum_training_rows || '.']
        WHEN scheduled_retraining_due OR performance_degraded OR feature_drift_persistent THEN list_filter([
          CASE WHEN scheduled_retraining_due THEN '{D.REASON_SCHEDULED}' END,
-         CASE WHEN performance_degraded THEN '{D.REASON_DEGRADED}' END,
-         CASE WHEN feature_drift_persistent THEN '{D.REASON_DRIFT}' END], lambda x: x IS NOT NULL)
+         CASE WHEN performance_degraded THEN '{REASON_PERSISTENT_DEGRADATION.format(n=2)}' END,
+         CASE WHEN feature_drift_persistent THEN drift_reason END], lambda x: x IS NOT NULL)
        ELSE ['{D.REASON_NOTHING}'] END AS reasons,
   CASE WHEN NOT data_quality_ok THEN ['data_quality'] WHEN NOT budget_available THEN ['budget']
        WHEN cooldown_active OR new_training_rows < minimum_training_rows THEN []
        ELSE list_filter([CASE WHEN scheduled_retraining_due THEN 'scheduled_refresh' END,
          CASE WHEN performance_degraded THEN 'performance_degradation' END,
          CASE WHEN feature_drift_persistent THEN 'feature_drift' END], lambda x: x IS NOT NULL) END AS trigger_types,
-  'retrain-' || substr(sha256(to_json({{'batch_ids': batch_ids, 'dataset_version': dataset_version,
-     'drift_window_end': drift_window_end, 'feature_drift_persistent': feature_drift_persistent,
-     'new_training_rows': new_training_rows, 'performance_degraded': performance_degraded,
-     'performance_window_end': performance_window_end, 'scheduled_retraining_due': scheduled_retraining_due}})), 1, 16) AS decision_id
+  {_DECISION_ID_SQL} AS decision_id
 FROM sig""", "naive_predictions", extra=_SIGNALS))
 def dec_03_retraining_policy(spark, sf_dir):
     """Retraining decision for every store's signals in one job."""
@@ -218,18 +246,21 @@ def dec_05_cooldown_schedule(spark, sf_dir):
                               "days_since_last_training"))
 
 
-@query("dec_06_duplicate_decision_guard", with_ctes("""
-SELECT Store, decision_id FROM cur WHERE decision_id NOT IN (SELECT decision_id FROM prev)""", "naive_predictions",
-                                                  extra={**_SIGNALS,
-    "cur": "SELECT Store, 'retrain-' || substr(sha256(Store || '|' || dataset_version), 1, 16) AS decision_id FROM sig",
-    "prev": "SELECT 'retrain-' || substr(sha256(Store || '|' || dataset_version), 1, 16) AS decision_id FROM sig WHERE NOT data_quality_ok"}))
+@query("dec_06_duplicate_decision_guard", with_ctes(f"""
+SELECT Store, {_DECISION_ID_SQL} AS decision_id, true AS recorded_once FROM sig WHERE data_quality_ok AND budget_available
+""", "naive_predictions", extra=_SIGNALS))
 def dec_06_duplicate_decision_guard(spark, sf_dir):
-    """Decisions already recorded (here: the blocked ones) are skipped."""
-    s = store_signals(Inputs(spark, sf_dir))
-    ids = s.select("Store", "data_quality_ok", F.concat(F.lit("retrain-"), F.substring(
-        F.sha2(F.concat_ws("|", F.col("Store").cast("string"), "dataset_version"), 256), 1, 16)).alias("decision_id"))
-    prev = ids.filter(~F.col("data_quality_ok"))
-    return D.unprocessed_decisions(ids, prev).select("Store", "decision_id")
+    """The blocked decisions are recorded, twice as after a retry; the guard then leaves the
+    others. Ids are those of DEC-03."""
+    base = scratch_dir(spark, "dec06")
+    D.retraining_decision(store_signals(Inputs(spark, sf_dir))).select("Store", "decision_id", "action") \
+        .write.parquet(f"{base}/decisions")
+    decisions = spark.read.parquet(f"{base}/decisions")
+    for _ in range(2):
+        D.record_decisions(decisions, f"{base}/state", F.col("action") == "block")
+    recorded = spark.read.parquet(f"{base}/state")
+    once = recorded.agg((F.count("decision_id") == F.count_distinct("decision_id")).alias("u")).scalar()
+    return D.unprocessed_decisions(decisions, recorded).select("Store", "decision_id", once.alias("recorded_once"))
 
 
 def _dec07_sql() -> str:
