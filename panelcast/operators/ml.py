@@ -210,22 +210,38 @@ def sample_params(trials: int = SEARCH_TRIALS, seed: int = DEFAULT_SEED) -> list
 
 
 def search(tagged: DataFrame, numeric, categorical, evaluate, trials: int = SEARCH_TRIALS, folds: int = SEARCH_FOLDS,
-           rounds: int | None = None, seed: int = DEFAULT_SEED) -> DataFrame:
-    """MLD-09: one row per trial (its parameters, the folds' RMSE, their mean, and whether
-    it is the best) over rows tagged with (fold, role). ``evaluate(scored)`` gives a
-    one-row table with rmse. ``rounds`` replaces the sampled number of trees where a
-    budget is needed; the trees that were fitted are reported."""
-    spark, out = tagged.sparkSession, None
-    for t, params in enumerate(sample_params(trials, seed)):
-        used = {**params, **({"n_estimators": rounds} if rounds else {})}
-        scored = None
-        for fold in range(1, folds + 1):
-            f = tagged.filter(F.col("fold") == fold)
-            model = fit(f.filter("role = 'train'"), numeric, categorical, params=used, seed=seed)
-            one = evaluate(predict(model, f.filter("role = 'validation'"), numeric, categorical)).select("rmse")
-            scored = one if scored is None else scored.unionByName(one)
-        row = scored.agg(F.avg("rmse").alias("mean_rmse")).select(
-            F.lit(t).alias("trial"), *[F.lit(v).alias(k) for k, v in used.items()], "mean_rmse")
-        out = row if out is None else out.unionByName(row)
-    best = out.agg(F.min_by("trial", F.struct("mean_rmse", "trial")).alias("t")).scalar()
-    return out.withColumn("is_best", F.col("trial") == best)
+           tree_share: float = 1.0, parallelism: int = 4, seed: int = DEFAULT_SEED) -> DataFrame:
+    """MLD-09: one row per trial (its parameters, ``trees`` fitted, the folds' RMSE, their
+    mean, and whether it is the best) over rows tagged with (fold, role). ``evaluate(scored)``
+    gives a one-row table with rmse.
+
+    The fold table is kept once for all trials; up to ``parallelism`` fits submit their jobs
+    at the same time, so that the short jobs of one fit fill the gaps of another (with
+    ``spark.scheduler.mode`` FAIR they share executors evenly). Only a fold's RMSE reaches
+    the driver. ``tree_share`` scales every sampled tree count where a budget is needed, so
+    that the count stays a searched parameter; ties go to the earlier trial."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    spark, sampled = tagged.sparkSession, sample_params(trials, seed)
+    trees = [max(1, round(p["n_estimators"] * tree_share)) for p in sampled]
+    table = tagged.filter(F.col("fold") <= folds).persist()
+
+    def fold_rmse(job: tuple[int, int]) -> float:
+        trial, fold = job
+        rows = table.filter(F.col("fold") == fold)
+        model = fit(rows.filter("role = 'train'"), numeric, categorical,
+                    params={**sampled[trial], "n_estimators": trees[trial]}, seed=seed)
+        return evaluate(predict(model, rows.filter("role = 'validation'"), numeric, categorical)).first()["rmse"]
+
+    jobs = [(trial, fold) for trial in range(trials) for fold in range(1, folds + 1)]
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            rmse = dict(zip(jobs, pool.map(inheritable_thread_target(spark)(fold_rmse), jobs)))
+    finally:
+        table.unpersist()
+    by_trial = [[rmse[(t, f)] for f in range(1, folds + 1)] for t in range(trials)]
+    means = [sum(r) / folds for r in by_trial]
+    rows = [(t, *sampled[t].values(), trees[t], by_trial[t], means[t], t == means.index(min(means))) for t in range(trials)]
+    kinds = ", ".join(f"{k} {'int' if isinstance(v, int) else 'double'}" for k, v in sampled[0].items())
+    return spark.createDataFrame(rows, f"trial int, {kinds}, trees int, fold_rmse array<double>, mean_rmse double, is_best boolean")

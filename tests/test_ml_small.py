@@ -60,3 +60,25 @@ def test_config_hash_is_sorted_json():
     from panelcast.functions.scalar import config_hash
     cfg = {"b": 1, "a": [1, 2]}
     assert config_hash(cfg) == hashlib.sha256(json.dumps(cfg, sort_keys=True).encode()).hexdigest()
+
+
+def test_search_uses_all_parameters_and_marks_the_best(spark):
+    from panelcast.operators import metrics as M
+    from panelcast.operators import ml as ML
+    rows = [(float(i % 9), float(50 + 10 * (i % 9)), fold, "train" if i % 4 else "validation", 1)
+            for fold in (1, 2, 3) for i in range(120)]
+    tagged = spark.createDataFrame(rows, "x double, Sales double, fold int, role string, Open int")
+    asked = []
+
+    def rmse(scored):
+        asked.append(scored.select("fold").first()[0])
+        return M.regression_metrics(scored, "Sales", "prediction")
+
+    got = ML.search(tagged, ["x"], [], rmse, trials=3, tree_share=0.01).orderBy("trial").collect()
+    sampled = ML.sample_params(3)
+    assert [r["trees"] for r in got] == [round(p["n_estimators"] * 0.01) for p in sampled]
+    assert all(r[k] == v for r, p in zip(got, sampled) for k, v in p.items())
+    assert sorted(asked) == [1, 1, 1, 2, 2, 2]
+    assert all(abs(r["mean_rmse"] - sum(r["fold_rmse"]) / 2) < 1e-9 for r in got)
+    means = [r["mean_rmse"] for r in got]
+    assert [r["is_best"] for r in got] == [r["trial"] == means.index(min(means)) for r in got]  # ties: the earlier
