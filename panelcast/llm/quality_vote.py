@@ -1,10 +1,12 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
-Terms of a document are hashed n-grams of its character shapes (runs of one
-character kind count once: letters by case, digits, each punctuation mark,
-blanks, line ends, other bytes) and marks of repeated words and lines. Terms
-are weighted by log frequency and inverse document frequency, projected on the
-leading singular vectors of the labelled rows, and scaled to unit length. Every
+Terms of a document are its hashed words (runs of letters, digits and bytes above
+127, A-Z lower-cased), the three-byte grams inside words, n-grams of its character
+shapes (runs of one character kind count once: letters by case, digits, each
+punctuation mark, blanks, line ends, other bytes) and marks of repeated words and
+lines. Terms are weighted by log frequency and inverse document frequency, each
+kind of term to a fixed share of the vector, projected on the leading singular
+vectors of the labelled rows, and scaled to unit length. Every
 document is compared with every labelled vector (exact cosines, in blocks), and
 the labels of its nearest neighbours vote with their similarities as weights.
 
@@ -32,26 +34,41 @@ from pyspark.sql import types as T
 from panelcast.llm.common import named, packed, unpacked
 
 MAX_PER_CLASS = 2000
-TERMS = 2048
+TERMS = 4096
 DIMENSIONS = 64
 NEIGHBOURS = 25
 #: Exponent of a neighbour's cosine, and weight of the prior share.
 SHARPNESS, PRIOR_WEIGHT = 8.0, 0.02
-#: Text bytes that are turned into terms at a time.
-SLICE_BYTES = 2_000_000
+#: Length of the word and gram parts of a vector; shapes and marks have length 1.
+WORD_WEIGHT, GRAM_WEIGHT = 0.5, 0.5
+#: Text bytes that are turned into terms at a time; a word at a cut counts as two.
+SLICE_BYTES = 400_000
 THRESHOLD = 0.7
 
 _KIND = np.array([0 if b > 127 else 1 if chr(b).islower() else 2 if chr(b).isupper() else 3 if chr(b).isdigit()
                   else 5 if b == 10 else 4 if chr(b).isspace() else b + 6 for b in range(256)], np.uint64)
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint64)
+_IN_WORD = np.array([b > 127 or chr(b).isalnum() for b in range(256)])
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def parts(terms: int) -> tuple[slice, slice, slice, slice]:
+    """Where shapes, words, grams and the 16 repetition marks lie among the terms."""
+    words, marks = terms // 4, terms - 16
+    return slice(0, marks - 2 * words), slice(marks - 2 * words, marks - words), slice(marks - words, marks), slice(marks, terms)
+
+
+def _bins(values: np.ndarray, n: int) -> np.ndarray:
+    """How many values fall into each of ``n`` hash bins."""
+    return np.bincount(((values * _MIX) >> np.uint64(40)).astype(np.int64) % n, minlength=n)
+
+
 def _repeats(values: np.ndarray) -> list[int]:
     """How often a value follows itself at distance 1, 2 and 3, and occurs again at all."""
     return [int((values[d:] == values[:-d]).sum()) for d in (1, 2, 3)] + [len(values) - len(np.unique(values))]
 
 
-def _count_terms(data: np.ndarray, terms: int, counts: np.ndarray) -> None:
+def _count_shapes(data: np.ndarray, counts: np.ndarray) -> None:
     """Add the shape n-grams of a run of bytes to ``counts``."""
     kind = _KIND[data]
     runs = kind[np.flatnonzero(np.diff(kind, prepend=np.uint64(255)))]
@@ -61,7 +78,22 @@ def _count_terms(data: np.ndarray, terms: int, counts: np.ndarray) -> None:
         if not len(gram):
             break
         if n > 1:
-            counts += np.bincount(((gram * _MIX) >> np.uint64(40)).astype(np.int64) % terms, minlength=terms)
+            counts += _bins(gram, len(counts))
+
+
+def _count_words(data: np.ndarray, words: np.ndarray, grams: np.ndarray) -> None:
+    """Add the words and their three-byte grams of a run of bytes to the counts."""
+    at = np.flatnonzero(_IN_WORD[data])
+    if not len(at):
+        return
+    low = _LOWER[data[at]]
+    first = np.flatnonzero(np.diff(at, prepend=at[0] - 2) > 1)
+    place = (at - np.repeat(at[first], np.diff(first, append=len(at)))).astype(np.uint64)
+    letter = (low + place * np.uint64(257) + np.uint64(1)) * _MIX
+    letter = (letter ^ (letter >> np.uint64(29))) * _MIX
+    words += _bins(np.add.reduceat(letter, first), len(words))
+    three = (low[:-2] << np.uint64(16)) + (low[1:-1] << np.uint64(8)) + low[2:]
+    grams += _bins(three[at[2:] - at[:-2] == 2], len(grams))
 
 
 def _hashes(text: bytes, sep: bytes | None) -> np.ndarray:
@@ -72,9 +104,10 @@ def term_counts(text: bytes, terms: int = TERMS) -> np.ndarray:
     """Term counts of a whole text; the last 16 terms are the repetition marks."""
     counts = np.zeros(terms, np.float64)
     data = np.frombuffer(text, np.uint8)
+    shapes, words, grams, _ = (counts[part] for part in parts(terms))
     for i in range(0, len(data), SLICE_BYTES):
-        _count_terms(data[i:i + SLICE_BYTES], terms - 16, shape := np.zeros(terms - 16, np.float64))
-        counts[:terms - 16] += shape
+        _count_shapes(data[i:i + SLICE_BYTES], shapes)
+        _count_words(data[i:i + SLICE_BYTES], words, grams)
     if text:
         words, lines = _hashes(text, None), _hashes(text, b"\n")
         for at, values in ((terms - 16, words), (terms - 8, lines)):
@@ -86,13 +119,25 @@ def term_counts(text: bytes, terms: int = TERMS) -> np.ndarray:
     return counts
 
 
-def weigh(counts: np.ndarray, idf: np.ndarray | None = None) -> np.ndarray:
-    """log(1 + share * 1000) of the terms, times idf, rows of unit length."""
-    total = counts[:, :-16].sum(axis=1, keepdims=True)
-    share = np.log1p(1000 * counts / np.maximum(total, 1))
-    rows = share if idf is None else share * idf
+def _unit(rows: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(rows, axis=1, keepdims=True)
-    return (rows / np.where(norm > 0, norm, 1)).astype(np.float32)
+    return rows / np.where(norm > 0, norm, 1)
+
+
+def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """log(1 + share * 1000) of the terms, times idf; each kind of term is brought to its
+    length, then rows to unit length. Shares are of the kind's total, marks' of the shapes'."""
+    shapes, words, grams, marks = parts(counts.shape[1])
+    rows = np.empty(counts.shape, np.float32)
+    for part, total in ((shapes, shapes), (words, words), (grams, grams), (marks, shapes)):
+        sums = np.maximum(counts[:, total].sum(axis=1, keepdims=True), 1)
+        rows[:, part] = np.log1p(1000 * counts[:, part] / sums) * idf[part]
+    form = np.sqrt((rows[:, shapes] ** 2).sum(axis=1, keepdims=True) + (rows[:, marks] ** 2).sum(axis=1, keepdims=True))
+    for part in (shapes, marks):
+        rows[:, part] /= np.where(form > 0, form, 1)
+    rows[:, words] = WORD_WEIGHT * _unit(rows[:, words])
+    rows[:, grams] = GRAM_WEIGHT * _unit(rows[:, grams])
+    return _unit(rows)
 
 
 @dataclass
@@ -167,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              for r in count_column(rows, "key", "text", terms).collect()}
     fitted = [found[k] for k in sorted(found)]
     y = np.array([f[0] for f in fitted], np.float64)
-    counts = np.stack([f[1] for f in fitted]).astype(np.float64)
+    counts = np.stack([f[1] for f in fitted])
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 0.1
     x = weigh(counts, idf)
     # Leading right singular vectors by subspace iteration from a fixed start.
@@ -193,8 +238,8 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         for batch in small_batches(batches):
             texts, out = as_bytes(batch.column(0)), []
-            for i in range(0, len(texts), 256):
-                out.append(m.score(np.stack([term_counts(t or b"", m.terms) for t in texts[i:i + 256]])))
+            for i in range(0, len(texts), 128):
+                out.append(m.score(np.stack([term_counts(t or b"", m.terms) for t in texts[i:i + 128]])))
             scores = np.concatenate(out) if out else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
 
