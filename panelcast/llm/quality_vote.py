@@ -24,6 +24,7 @@ left out of ``score`` and kept by ``keep_good``.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -153,7 +154,10 @@ class Model:
     weights: np.ndarray
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        rows = weigh(counts, self.idf) @ self.projection
+        return self.projected(weigh(counts, self.idf))
+
+    def projected(self, weighted: np.ndarray) -> np.ndarray:
+        rows = weighted @ self.projection
         norm = np.linalg.norm(rows, axis=1, keepdims=True)
         return rows / np.where(norm > 1e-6, norm, np.inf)
 
@@ -173,20 +177,24 @@ def held_out(id_col: str):
 
 
 def count_column(docs: DataFrame, id_col: str, text_col: str, terms: int) -> DataFrame:
-    """(id, counts) of documents, counts as float32 bytes."""
+    """(id, counts) of documents, counts as compressed float32 bytes."""
     def run(batches):
         import pyarrow as pa
 
         from panelcast.llm.quality_vote import term_counts
         from panelcast.llm.tokens import as_bytes, small_batches
         for batch in small_batches(batches):
-            rows = [term_counts(t or b"", terms).astype(np.float32).tobytes() for t in as_bytes(batch.column(1))]
+            rows = [zlib.compress(term_counts(t or b"", terms).astype(np.float32).tobytes(), 1) for t in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["id", "counts"])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, counts binary")
 
 
+def _unpack(fitted: list[tuple[int, bytes]]) -> np.ndarray:
+    return np.stack([np.frombuffer(zlib.decompress(packed_counts), np.float32) for _, packed_counts in fitted])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         per_class: int = MAX_PER_CLASS, terms: int = TERMS, dimensions: int = DIMENSIONS) -> Model:
     """Fit on at most ``per_class`` labelled rows of each label that are not held out."""
@@ -208,13 +216,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # One row per chosen id, however often the id is repeated: the one with the smallest hash.
     rows = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = rows.select(F.struct("id", "label").alias("key"), "text")
-    found = {r["id"]["id"]: (r["id"]["label"], np.frombuffer(r["counts"], np.float32))
-             for r in count_column(rows, "key", "text", terms).collect()}
+    found = {r["id"]["id"]: (r["id"]["label"], r["counts"]) for r in count_column(rows, "key", "text", terms).collect()}
     fitted = [found[k] for k in sorted(found)]
     y = np.array([f[0] for f in fitted], np.float64)
-    counts = np.stack([f[1] for f in fitted])
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 0.1
-    x = weigh(counts, idf)
+    # Only the weighted rows are kept whole, in single precision; counts are unpacked in blocks.
+    blocks = [fitted[i:i + 256] for i in range(0, len(fitted), 256)]
+    idf = np.log((1 + len(y)) / (1 + sum((_unpack(b) > 0).sum(axis=0) for b in blocks))) + 0.1
+    x = np.empty((len(y), terms), np.float32)
+    for i, block in enumerate(blocks):
+        x[256 * i:256 * i + len(block)] = weigh(_unpack(block), idf)
     # Leading right singular vectors by subspace iteration from a fixed start.
     basis = np.random.default_rng(9).standard_normal((terms, min(dimensions + 16, *x.shape))).astype(np.float32)
     for _ in range(6):
@@ -222,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     _, _, turn = np.linalg.svd(x @ basis, full_matrices=False)
     model = Model(terms, share, idf, (basis @ turn.T)[:, :dimensions], np.zeros((0, 1)), y, y)
     weights = np.where(y == 1, share / max((y == 1).mean(), 1e-9), (1 - share) / max((y == 0).mean(), 1e-9))
-    model.vectors, model.weights = model.latent(counts), weights
+    model.vectors, model.weights = model.projected(x), weights
     return model
 
 
