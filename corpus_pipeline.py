@@ -1,6 +1,13 @@
 """Training corpus pipeline over ``documents``: quality classifier, line
 de-duplication, near-duplicate removal, packing. Each stage is written as
-Parquet in the shared folder and read again by the next."""
+Parquet in the shared folder and read again by the next.
+
+Defined results: null and empty texts get the classifier's share of good labels
+and stay if it reaches the threshold; they are one empty line, link with nothing
+and end as a piece of one token, the end id. Without labels the classifier keeps
+every document. Equal texts are near-duplicates: the smallest doc_id stays. Rows
+that repeat a doc_id are judged each for itself by the classifier. Extra columns
+pass through all stages but the last. Empty tables give empty tables."""
 
 from __future__ import annotations
 
