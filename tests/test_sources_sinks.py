@@ -76,3 +76,12 @@ def test_state_versions(spark, tmp_path):
     assert [tuple(r) for r in Sk.read_state(spark, path).collect()] == [(1, [1.0, 2.0])]
     assert [tuple(r) for r in Sk.read_state(spark, path, first).collect()] == [(1, [1.0])]
     assert [r["sequence"] for r in Sk.state_commits(spark, path).orderBy("sequence").collect()] == [1, 2]
+
+
+def test_late_year_is_written_by_all_tasks(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    from panelcast.plans.q_io import src_08_newest_file_pick
+    monkeypatch.setattr(DataFrame, "coalesce", lambda *a: pytest.fail("all rows in one task"))
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", lambda *a: pytest.fail("all rows in one task"))
+    got = src_08_newest_file_pick(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == 1 and got[0]["is_late"] and got[0]["has_size"]
