@@ -82,3 +82,22 @@ def test_search_uses_all_parameters_and_marks_the_best(spark):
     assert all(abs(r["mean_rmse"] - sum(r["fold_rmse"]) / 2) < 1e-9 for r in got)
     means = [r["mean_rmse"] for r in got]
     assert [r["is_best"] for r in got] == [r["trial"] == means.index(min(means)) for r in got]  # ties: the earlier
+
+
+def test_search_fits_the_feature_stages_once_per_fold(spark, monkeypatch):
+    from panelcast.operators import metrics as M
+    from panelcast.operators import ml as ML
+    rows = [(float(i % 9), float(50 + 10 * (i % 9)), fold, "train" if i % 4 else "validation", 1)
+            for fold in (1, 2) for i in range(60)]
+    tagged = spark.createDataFrame(rows, "x double, Sales double, fold int, role string, Open int")
+    plain, built = ML.feature_pipeline, []
+    monkeypatch.setattr(ML, "feature_pipeline", lambda *a: built.append(a) or plain(*a))
+    ML.search(tagged, ["x"], [], lambda scored: M.regression_metrics(scored, "Sales", "prediction"), trials=3, tree_share=0.01)
+    assert len(built) == 2
+
+
+def test_models_read_a_kept_table(spark):
+    from panelcast.plans import q_ml
+    from panelcast.plans.registry import Inputs
+    plan = q_ml._features(Inputs(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and "Window" not in plan and "Exchange" not in plan
