@@ -62,3 +62,20 @@ def test_column_form(spark):
     df = spark.createDataFrame(rows, "d double, n long, m long")
     p = [r[0] for r in df.select(stats.ks_pvalue(F.col("d"), F.col("n"), F.col("m"))).collect()]
     assert p[0] == pytest.approx(16 / 70) and p[1] is None and abs(p[2] - 0.0494) < 1e-3
+
+
+def test_many_rows_at_once_equal_row_by_row():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    n, m = rng.integers(1, 90, 300), rng.integers(1, 40, 300)
+    d = np.array([rng.integers(0, a * b + 1) / (a * b) for a, b in zip(n, m)])
+    one = [stats.ks_exact(float(x), int(a), int(b)) for x, a, b in zip(d, n, m)]
+    for points in (50_000, 500, 1):
+        assert np.array_equal(stats.ks_exact_many(d, n, m, points), one)
+
+
+def test_column_form_takes_exact_rows_together(spark, monkeypatch):
+    import pandas as pd
+    monkeypatch.setattr(stats, "ks_exact", lambda *a: pytest.fail("one row at a time"))
+    p = stats.ks_pvalue.func(pd.Series([0.75, 0.5, None]), pd.Series([4, 4, 4]), pd.Series([4, 4, 4]))
+    assert p[0] == pytest.approx(16 / 70) and 0 < p[1] <= 1 and pd.isna(p[2])
