@@ -407,5 +407,6 @@ def udf_06_statistical_tails(spark, sf_dir):
     part = Inputs(spark, sf_dir).t.part
     small = part.select(F.col("p_size").cast("double").alias("x"), (1 + F.col("p_partkey") % 23).cast("int").alias("dof"))
     large = part.select((1400 + F.col("p_partkey") % 400).cast("double").alias("x"), (1500 + F.col("p_size")).cast("int").alias("dof"))
-    both = small.unionByName(large)
+    # hundreds of terms a row: spread evenly, as a file of few bytes would be one task's
+    both = small.unionByName(large).repartition(8 * spark.sparkContext.defaultParallelism)
     return rounded(both.select("x", "dof", chi2_sf(F.col("x"), F.col("dof")).alias("p_value")))

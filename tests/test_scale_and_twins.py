@@ -165,3 +165,16 @@ def test_stream_scoring_equals_bulk_scoring(spark):
         F.count("*"), F.count_if(F.col("copies") == 1), F.count_if("as_bulk")).first()
     n = Inputs(spark, SF_SMALL).panel().count()
     assert tuple(rows) == (n, n, n)
+
+
+def test_costly_rows_are_spread_and_the_panel_is_read_back(spark):
+    from panelcast.plans.q_misc import udf_06_statistical_tails
+    from panelcast.plans.registry import Inputs
+    tails = udf_06_statistical_tails(spark, "/root/testdata/sf0.001")
+    assert tails.rdd.getNumPartitions() == 8 * spark.sparkContext.defaultParallelism
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    plain = i.panel()
+    kept = i.keep_panel().panel()
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert i.keep_panel().panel() is kept and kept.dtypes == plain.dtypes
+    assert kept.exceptAll(plain).count() == plain.exceptAll(kept).count() == 0
