@@ -127,3 +127,28 @@ def test_state_provider_setting_comes_back(spark):
     with St.rocksdb_state(spark):
         assert "RocksDB" in spark.conf.get(key)
     assert spark.conf.get(key, None) == before
+
+
+def test_truth_join_in_several_deliveries(spark, monkeypatch):
+    from panelcast.plans import q_stream
+    from tests.conftest import SF_SMALL
+    one = {tuple(r) for r in q_stream.str_03_delayed_truth_join(spark, SF_SMALL).collect()}
+    seen, plain = [], q_stream.St.truth_join_stream
+
+    def counted(*a, **k):
+        seen.append(spark.conf.get("spark.sql.streaming.stateStore.providerClass"))
+        return plain(*a, **k)
+
+    monkeypatch.setattr(q_stream.St, "truth_join_stream", counted)
+    monkeypatch.setattr(q_stream, "DELIVERY_ROWS", 2500)
+    rows = [tuple(r) for r in q_stream.str_03_delayed_truth_join(spark, SF_SMALL).collect()]
+    assert len(seen) > 1 and len(rows) == len(one) and set(rows) == one
+
+
+def test_day_ranges(spark):
+    import datetime as dt
+    from panelcast.plans.q_stream import day_ranges
+    day = [dt.date(2020, 1, k) for k in (1, 2, 3, 5)]
+    df = spark.createDataFrame([(d,) for d, n in zip(day, (2, 1, 7, 1)) for _ in range(n)] + [(None,)], "Date date")
+    assert day_ranges(df, 3) == [(day[0], day[1]), (day[2], day[2]), (day[3], day[3])]
+    assert day_ranges(df.limit(0), 3) == []
