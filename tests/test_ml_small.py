@@ -101,3 +101,61 @@ def test_models_read_a_kept_table(spark):
     from panelcast.plans.registry import Inputs
     plan = q_ml._features(Inputs(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
     assert "Scan parquet" in plan and "Window" not in plan and "Exchange" not in plan
+
+
+def test_folds_from_limits_are_filters_of_one_scan(spark, tmp_path):
+    import datetime as dt
+    from panelcast.operators.splits import fold_limits, walk_forward
+    day = dt.date(2020, 1, 1)
+    rows = [(s, day + dt.timedelta(d), float(d)) for s in (1, 2) for d in range(40)] + [(3, None, 1.0), (1, day, 0.0)]
+    spark.createDataFrame(rows, "Store int, Date date, Sales double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    by_limits, plain = walk_forward(df, limits=fold_limits(df, folds=3, days=5)), walk_forward(df, folds=3, days=5)
+    assert by_limits.dtypes == plain.dtypes
+    assert sorted(map(str, by_limits.collect())) == sorted(map(str, plain.collect()))
+    plan = by_limits.filter("fold = 2").filter("role = 'train'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Generate" not in plan and "Subquery" not in plan and "LessThan" in plan
+
+
+def test_medians_are_those_of_the_imputer(spark):
+    from pyspark.ml.feature import Imputer
+    from panelcast.operators import ml as ML
+    rows = [(float(i * 37 % 101) if i % 3 else None, float("nan") if i % 5 == 0 else float(i), "a") for i in range(400)]
+    df = spark.createDataFrame(rows, "x double, y double, c string")
+    feats, _ = ML.fit_features(df, ["x", "y"], ["c"])
+    own = Imputer(inputCols=["x", "y"], outputCols=["p", "q"], strategy="median").fit(df).surrogateDF.first()
+    assert feats.stages[0].surrogateDF.first().asDict() == own.asDict()
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    from panelcast.sources.files import kept
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        names = (files.apply(k).getName() for k in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(key)
+    table = kept(spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count(), "count")
+    assert not shuffled() - before and spark.conf.get(key) == setting
+    assert table.count() == 7
+
+
+def test_features_join_their_calendar_without_an_exchange(spark, monkeypatch):
+    from panelcast.plans import q_ml
+    from panelcast.plans.registry import Inputs
+    plans = []
+
+    def kept(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return df
+
+    monkeypatch.setattr(q_ml, "kept", kept)
+    with q_ml.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        i = Inputs(spark, "/root/testdata/sf0.001")
+        q_ml._features(i)
+    name, plan = plans[-1]
+    assert name == "features" and "l_orderkey" not in plan
+    assert "hashpartitioning(Store" in plan and not [ln for ln in plan.splitlines() if "hashpartitioning(Store" in ln and "Date" in ln]
