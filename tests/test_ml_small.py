@@ -127,6 +127,38 @@ def test_medians_are_those_of_the_imputer(spark):
     assert feats.stages[0].surrogateDF.first().asDict() == own.asDict()
 
 
+def test_search_query_fits_all_sampled_trees(spark, monkeypatch):
+    from panelcast.operators import ml as ML
+    from panelcast.plans import q_ml
+    asked = []
+
+    class Fitted(Exception):
+        pass
+
+    def build(model_type, params, *a, **k):
+        asked.append(params["n_estimators"])
+        raise Fitted
+
+    monkeypatch.setattr(ML, "build_model", build)
+    with pytest.raises(Fitted):
+        q_ml.mld_09_hyperparameter_search(spark, "/root/testdata/sf0.001")
+    assert asked and set(asked) <= set(ML.SEARCH_ROUNDS)
+
+
+def test_large_fits_of_the_search_run_alone(spark, monkeypatch):
+    import threading
+    from panelcast.operators import metrics as M
+    from panelcast.operators import ml as ML
+    rows = [(float(i % 9), float(50 + i % 9), fold, "train" if i % 4 else "validation", 1) for fold in (1, 2) for i in range(60)]
+    tagged = spark.createDataFrame(rows, "x double, Sales double, fold int, role string, Open int")
+    threads, plain = set(), ML.build_model
+    monkeypatch.setattr(ML, "SEARCH_ROWS", 50)
+    monkeypatch.setattr(ML, "build_model", lambda *a, **k: threads.add(threading.get_ident()) or plain(*a, **k))
+    kept = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    ML.search(tagged, ["x"], [], lambda scored: M.regression_metrics(scored, "Sales", "prediction"), trials=2, tree_share=0.005)
+    assert len(threads) == 1 and spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= kept
+
+
 def test_kept_tables_leave_no_shuffle_files(spark):
     from panelcast.sources.files import kept
     manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
