@@ -152,3 +152,46 @@ def test_day_ranges(spark):
     df = spark.createDataFrame([(d,) for d, n in zip(day, (2, 1, 7, 1)) for _ in range(n)] + [(None,)], "Date date")
     assert day_ranges(df, 3) == [(day[0], day[1]), (day[2], day[2]), (day[3], day[3])]
     assert day_ranges(df.limit(0), 3) == []
+
+
+def test_batch_files_are_hashed_without_being_held(spark, tmp_path):
+    import gzip
+    import hashlib
+    from panelcast.sources.files import open_file
+    src = tmp_path / "in"
+    src.mkdir()
+    given = {"a b%20.csv": b"x" * 3_000_000, "c.csv.gz": gzip.compress(b"y" * 100), "d.csv": b"", "again.csv": b"x" * 3_000_000}
+    for name, content in given.items():
+        (src / name).write_bytes(content)
+    key = "spark.sql.sources.binaryFile.maxLength"  # longer files fail where their content is read
+    spark.conf.set(key, "10")
+    try:
+        q = St.dedup_batches_stream(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ck"))
+        q.awaitTermination()
+        assert q.exception() is None
+    finally:
+        spark.conf.unset(key)
+    ids = [r.batch_id for r in spark.read.schema(St.REGISTER_SCHEMA).parquet(str(tmp_path / "out")).collect()]
+    assert sorted(ids) == sorted({"gt-" + hashlib.sha256(c).hexdigest()[:20] for c in given.values() if c})  # Spark skips empty files
+    assert open_file(str(src / "d.csv")).read() == b""
+
+
+def test_join_state_is_small_and_settings_come_back(spark):
+    with St.settings(spark, {"spark.sql.shuffle.partitions": "200"}):
+        assert int(St.state_partitions(spark)) == max(8, 2 * spark.sparkContext.defaultParallelism)
+    keys = [*St.JOIN_STATE, "spark.sql.shuffle.partitions"]
+    before, seen, plain = [spark.conf.get(k, None) for k in keys], [], St._writer
+
+    def writer(df, checkpoint):
+        seen.append([spark.conf.get(k, None) for k in keys])
+        return plain(df, checkpoint)
+
+    St._writer = writer
+    try:
+        from panelcast.plans import q_stream
+        from tests.conftest import SF_SMALL
+        q_stream.str_03_join_outcomes(spark, SF_SMALL).count()
+    finally:
+        St._writer = plain
+    assert len(seen) == 4 and all(s[:-1] == list(St.JOIN_STATE.values()) for s in seen)
+    assert [spark.conf.get(k, None) for k in keys] == before
